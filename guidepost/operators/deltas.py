@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guidepost.functions import column
+from guidepost.plans import distinct_keys
 
 
 def advance_deltas(
@@ -20,7 +21,7 @@ def advance_deltas(
     if key not in ("extraction_id", "target_id"):
         raise ValueError(f"key must be 'extraction_id' or 'target_id', not {key!r}")
     start, end = F.col("delta_start"), F.col("delta_end")
-    moved = ids.select(column(key)).distinct().withColumn("is_moved", F.lit(True))
+    moved = distinct_keys(ids, key).withColumn("is_moved", F.lit(True))
     return (
         extractions.join(moved, key, "left")
         .withColumns(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guidepost.functions import column, column_token, flag_is_set
+from guidepost.plans import distinct_keys
 
 
 def is_target(theme: str | None, target: str | None) -> Column:
@@ -143,15 +144,13 @@ def destination_columns_of(
 ) -> DataFrame:
     """Distinct destination column names of a target.
 
-    Column ids are made distinct before the names are joined: a target may map many source
-    columns to one id, and the aggregate shrinks them before they are shuffled.
+    A target may map many source columns to one id, so the ids are made distinct before
+    the names are joined.
     """
     wanted = targets.where(is_target(theme, target)).select("target_id")
-    used = (
-        source_columns.select("target_id", "dest_column_id")
-        .join(wanted, "target_id")
-        .select("dest_column_id")
-        .distinct()
+    used = distinct_keys(
+        source_columns.select("target_id", "dest_column_id").join(wanted, "target_id"),
+        "dest_column_id",
     )
     names = destination_columns.select("dest_column_id", "dest_name")
     return used.join(names, "dest_column_id").select("dest_name").distinct()

@@ -9,9 +9,10 @@ from guidepost.functions import flag_is_set, partition_time
 from guidepost.operators.lookups import is_target
 from guidepost.plans import (
     MAX_BROADCAST_BYTES,
-    broadcast_if_small,
     bucket_times,
     byte_total,
+    distinct_keys,
+    is_small,
     split_windows,
 )
 
@@ -28,15 +29,24 @@ PATH_COLUMNS = [
 
 
 def extraction_windows(
-    targets: DataFrame, extractions: DataFrame, theme: str | None, target: str | None
+    targets: DataFrame,
+    extractions: DataFrame,
+    theme: str | None,
+    target: str | None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Distinct extractions of the chosen targets with their index keys and windows."""
-    wanted = targets.where(is_target(theme, target)).select("target_id").distinct()
-    return (
-        extractions.join(wanted, "target_id")
-        .select("extraction_id", *INDEX_KEYS, "target_id", "delta_start", "delta_end")
-        .distinct()
+    """Distinct extractions of the chosen targets with their index keys and windows.
+
+    Usually few targets are chosen, and a broadcast leaves few extractions to shuffle. With
+    many, repeated extractions are merged before the join, which can then split hot targets.
+    """
+    wanted = distinct_keys(targets.where(is_target(theme, target)), "target_id")
+    rows = extractions.select(
+        "extraction_id", *INDEX_KEYS, "target_id", "delta_start", "delta_end"
     )
+    if is_small(wanted, max_broadcast_bytes):
+        return rows.join(F.broadcast(wanted), "target_id").distinct()
+    return rows.distinct().join(wanted, "target_id")
 
 
 def resolve_paths(
@@ -53,47 +63,47 @@ def resolve_paths(
     ``mode="window"`` keeps partitions whose hour lies in the extraction's delta window, both
     ends included. ``mode="flag"`` keeps partitions whose delta flag is set, at any time.
 
-    The windows of a target are few and the index is long, so the windows are measured first
-    (one job over the control tables). If they are small they are broadcast and the index is
-    read once without a shuffle. Otherwise both sides are shuffled, the index after
-    its repeated entries were merged.
+    The windows of a target are few and the index is long, so targets and windows are measured
+    first (two jobs over the control tables). If they are small they are broadcast, and
+    only index entries that match are shuffled. Otherwise both sides are shuffled.
     """
-    windows = extraction_windows(targets, extractions, theme, target)
-    if mode == "window":
-        hits = _inside_window(windows, index, max_broadcast_bytes)
-    elif mode == "flag":
-        hits = _flagged(windows, index, max_broadcast_bytes)
-    else:
+    if mode not in ("window", "flag"):
         raise ValueError(f"mode must be 'window' or 'flag', not {mode!r}")
-    return hits.select(*PATH_COLUMNS).distinct()
+    windows = extraction_windows(targets, extractions, theme, target, max_broadcast_bytes)
+    match = _match_windows if mode == "window" else _match_flags
+    return match(windows, index, max_broadcast_bytes).select(*PATH_COLUMNS).distinct()
 
 
-def _inside_window(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
+def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
     pieces = split_windows(windows, "delta_start", "delta_end")
-    found = pieces.agg(
+    measured = pieces.agg(
         byte_total(pieces.columns).alias("bytes"),
         F.collect_set("bucket_width").alias("widths"),
     ).first()
 
     time = partition_time(index, like=windows.schema["delta_start"].dataType)
-    entries = index.select(*INDEX_KEYS, "directory", time.alias("partition_time")).where(
-        F.col("partition_time").isNotNull()
+    entries = bucket_times(
+        index.select(*INDEX_KEYS, "directory", time.alias("partition_time")),
+        "partition_time",
+        measured["widths"] or [1],
     )
-    if found["bytes"] <= max_bytes:
-        pieces = F.broadcast(pieces)
-    else:
-        entries = entries.distinct()
-    timed = bucket_times(entries, "partition_time", found["widths"] or [1])
-    return timed.join(pieces, [*INDEX_KEYS, "bucket_width", "bucket"]).where(
+    keys = [*INDEX_KEYS, "bucket_width", "bucket"]
+    return _join_entries(entries, pieces, keys, measured["bytes"] <= max_bytes).where(
         F.col("partition_time").between(F.col("delta_start"), F.col("delta_end"))
     )
 
 
-def _flagged(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
-    # A directory has many index rows, one for each hour; the hours do not matter here.
-    entries = (
-        index.where(flag_is_set(index, "delta_flag"))
-        .select(*INDEX_KEYS, "directory")
-        .distinct()
-    )
-    return entries.join(broadcast_if_small(windows, max_bytes), INDEX_KEYS)
+def _match_flags(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
+    entries = index.where(flag_is_set(index, "delta_flag")).select(*INDEX_KEYS, "directory")
+    return _join_entries(entries, windows, INDEX_KEYS, is_small(windows, max_bytes))
+
+
+def _join_entries(
+    entries: DataFrame, windows: DataFrame, keys: list[str], small: bool
+) -> DataFrame:
+    """Entries with the windows of equal keys; repeated entries are merged before the join."""
+    if small:
+        used = F.broadcast(windows.select(keys).distinct())
+        entries = entries.join(used, keys, "left_semi")
+        windows = F.broadcast(windows)
+    return entries.distinct().join(windows, keys)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guidepost.functions import TOKEN_PATTERN, column
-from guidepost.plans import broadcast_if_small
+from guidepost.plans import apart, broadcast_if_small
 
 
 def render_templates(
@@ -29,16 +29,18 @@ def render_templates(
 
     names = (
         token_map.where(F.col("token").isNotNull())
-        .groupBy(F.col("token").alias("_token"))
+        .groupBy(F.col("token").alias("_token"), apart("token"))
         .agg(F.min("dest_name").alias("_name"))
         .where(F.col("_name").isNotNull())
+        .select("_token", "_name")
     )
     sets = tagged.where(F.size("_tokens") > 0).select("_tokens").distinct()
     known = (
         sets.select("_tokens", F.explode("_tokens").alias("_token"))
         .join(broadcast_if_small(names), "_token")
-        .groupBy("_tokens")
+        .groupBy("_tokens", apart("_tokens"))
         .agg(F.map_from_entries(F.collect_list(F.struct("_token", "_name"))).alias("_names"))
+        .select("_tokens", "_names")
     )
 
     literals = F.split(column(template), TOKEN_PATTERN, -1)

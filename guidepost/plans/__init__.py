@@ -1,18 +1,23 @@
-"""Join helpers: measured broadcast and time-range joins on equal keys."""
+"""Join helpers: measured broadcast, hot keys, and time windows as equal keys."""
 
 from guidepost.plans.ranges import bucket_times, split_windows
 from guidepost.plans.sizes import (
     MAX_BROADCAST_BYTES,
     broadcast_if_small,
     byte_total,
+    is_small,
     shuffle_settings,
 )
+from guidepost.plans.skew import apart, distinct_keys
 
 __all__ = [
     "MAX_BROADCAST_BYTES",
+    "apart",
     "broadcast_if_small",
     "bucket_times",
     "byte_total",
+    "distinct_keys",
+    "is_small",
     "shuffle_settings",
     "split_windows",
 ]

@@ -31,14 +31,17 @@ def byte_total(names: list[str]) -> Column:
     return F.coalesce(F.sum(row_size.cast("long")), F.lit(0))
 
 
+def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` fits into ``max_bytes``, measured by one aggregate over it."""
+    return df.agg(byte_total(df.columns).alias("bytes")).first()["bytes"] <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast if its measured size allows it, else return it unchanged.
 
-    Runs one aggregate over ``df``. Without the mark Spark shuffles both sides, and adaptive
-    execution splits the partitions of hot keys.
+    Without the mark Spark shuffles both sides, and adaptive execution splits hot keys.
     """
-    measured = df.agg(byte_total(df.columns).alias("bytes")).first()["bytes"]
-    return F.broadcast(df) if measured <= max_bytes else df
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def shuffle_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
