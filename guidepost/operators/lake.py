@@ -38,8 +38,9 @@ def read_resolved(
 
     Directories are absolute, or relative to ``root``. Their distinct names come to the driver,
     as Spark lists files there; data rows and the pairs of directory and extraction do not.
-    Without ``schema`` the files define it. ``options`` go to the reader, e.g.
-    ``basePath`` to keep partition columns.
+    Without ``schema`` the files define it, and a column that only some directories have is
+    null in the others. ``options`` go to the reader, e.g. ``basePath`` to keep partition
+    columns.
     """
     full = F.col("directory")
     if root is not None:
@@ -73,12 +74,9 @@ def read_resolved(
         _with_directory(reader.parquet(*locations), qualified, depth)
         for (qualified, depth), locations in groups.items()
     ]
+    data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     owners = wanted.select("extraction_id", "_directory").distinct()
-    return (
-        reduce(DataFrame.unionByName, scans)
-        .join(broadcast_if_small(owners), "_directory")
-        .drop("_directory")
-    )
+    return data.join(broadcast_if_small(owners), "_directory").drop("_directory")
 
 
 def _with_directory(data: DataFrame, qualified: bool, depth: int) -> DataFrame:

@@ -4,11 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guidepost.functions import TOKEN_PATTERN, column
-from guidepost.plans import apart, broadcast_if_small
+from guidepost.plans import MAX_BROADCAST_BYTES, apart, broadcast_if_small
 
 
 def render_templates(
-    templates: DataFrame, token_map: DataFrame, template: str = "select_template"
+    templates: DataFrame,
+    token_map: DataFrame,
+    template: str = "select_template",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``templates`` with ``rendered``, the text with tokens replaced by column names, and
     ``unresolved``, the sorted tokens that have no name and were left in the text.
@@ -37,7 +40,7 @@ def render_templates(
     sets = tagged.where(F.size("_tokens") > 0).select("_tokens").distinct()
     known = (
         sets.select("_tokens", F.explode("_tokens").alias("_token"))
-        .join(broadcast_if_small(names), "_token")
+        .join(broadcast_if_small(names, max_broadcast_bytes), "_token")
         .groupBy("_tokens", apart("_tokens"))
         .agg(F.map_from_entries(F.collect_list(F.struct("_token", "_name"))).alias("_names"))
         .select("_tokens", "_names")
