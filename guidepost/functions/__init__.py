@@ -3,6 +3,7 @@
 from guidepost.functions.columns import (
     TOKEN_PATTERN,
     canonical_text,
+    cast_or_null,
     column,
     column_token,
     flag_is_set,
@@ -12,6 +13,7 @@ from guidepost.functions.columns import (
 __all__ = [
     "TOKEN_PATTERN",
     "canonical_text",
+    "cast_or_null",
     "column",
     "column_token",
     "flag_is_set",

@@ -9,12 +9,29 @@ TOKEN_PREFIX = "<<Columna_"
 TOKEN_SUFFIX = ">>"
 TOKEN_PATTERN = "<<Columna_[0-9]+_.+?>>"
 
+INTEGER_TYPES = {"tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long"}
+# Text that a strict cast to a whole number accepts, as far as it is in range.
+INTEGER_TEXT = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"
+
 
 def column(name: str) -> Column:
     """The column of exactly this name, also when the name holds dots or backticks."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def cast_or_null(df: DataFrame, name: str, data_type: str) -> Column:
+    """A column of ``df`` as another type, null where the value does not fit.
+
+    A strict cast throws for every bad text, and catching that costs far more than the cast.
+    Text that is no whole number is the usual case, so a pattern sorts it out first.
+    """
+    value = column(name)
+    is_text = isinstance(df.schema[name].dataType, T.StringType)
+    if is_text and data_type.strip().lower() in INTEGER_TYPES:
+        value = F.when(value.rlike(INTEGER_TEXT), value)
+    return value.try_cast(data_type)
+
+
 def canonical_text(value: Column) -> Column:
     """Form in which two spellings of one value compare equal: trimmed, lower case."""
     return F.lower(F.trim(value))
@@ -38,7 +55,7 @@ def flag_is_set(df: DataFrame, name: str) -> Column:
     """
     if isinstance(df.schema[name].dataType, T.BooleanType):
         return column(name)
-    return column(name).try_cast("int") == 1
+    return cast_or_null(df, name, "int") == 1
 
 
 def partition_time(df: DataFrame, like: T.DataType) -> Column:
@@ -53,5 +70,5 @@ def partition_time(df: DataFrame, like: T.DataType) -> Column:
         else F.try_make_timestamp
     )
     zero = F.lit(0)
-    parts = [column(name).try_cast("int") for name in ("year", "month", "day", "hour")]
+    parts = [cast_or_null(df, name, "int") for name in ("year", "month", "day", "hour")]
     return make(*parts, zero, zero)

@@ -13,6 +13,7 @@ from guidepost.plans import (
     byte_total,
     distinct_keys,
     is_small,
+    size_windows,
     split_windows,
 )
 
@@ -40,11 +41,12 @@ def extraction_windows(
     Usually few targets are chosen, and a broadcast leaves few extractions to shuffle. With
     many, repeated extractions are merged before the join, which can then split hot targets.
     """
-    wanted = distinct_keys(targets.where(is_target(theme, target)), "target_id")
+    chosen = targets.where(is_target(theme, target)).select("target_id")
+    wanted = distinct_keys(chosen, "target_id")
     rows = extractions.select(
         "extraction_id", *INDEX_KEYS, "target_id", "delta_start", "delta_end"
     )
-    if is_small(wanted, max_broadcast_bytes):
+    if is_small(chosen, max_broadcast_bytes):
         return rows.join(F.broadcast(wanted), "target_id").distinct()
     return rows.distinct().join(wanted, "target_id")
 
@@ -75,9 +77,10 @@ def resolve_paths(
 
 
 def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
-    pieces = split_windows(windows, "delta_start", "delta_end")
-    measured = pieces.agg(
-        byte_total(pieces.columns).alias("bytes"),
+    sized = size_windows(windows, "delta_start", "delta_end")
+    steps = F.col("last_bucket") - F.col("first_bucket") + 1
+    measured = sized.agg(
+        byte_total(sized, times=steps).alias("bytes"),
         F.collect_set("bucket_width").alias("widths"),
     ).first()
 
@@ -88,7 +91,8 @@ def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> Data
         measured["widths"] or [1],
     )
     keys = [*INDEX_KEYS, "bucket_width", "bucket"]
-    return _join_entries(entries, pieces, keys, measured["bytes"] <= max_bytes).where(
+    small = measured["bytes"] <= max_bytes
+    return _join_entries(entries, split_windows(sized), keys, small).where(
         F.col("partition_time").between(F.col("delta_start"), F.col("delta_end"))
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from guidepost.functions import canonical_text, column
+from guidepost.functions import canonical_text, cast_or_null, column
 from guidepost.plans import MAX_BROADCAST_BYTES, byte_total
 
 # A mapping becomes the column list of a query, so it has to be of a size Spark can plan.
@@ -52,7 +52,7 @@ def apply_column_mapping(
     """
     return df.select(
         *[
-            column(source).try_cast(data_type).alias(dest)
+            cast_or_null(df, source, data_type).alias(dest)
             for source, dest, data_type in _mapped_columns(df, mapping, types)
         ]
     )
@@ -65,7 +65,7 @@ def count_bad_casts(
     mapped = _mapped_columns(df, mapping, types)
 
     def is_lost(source: str, data_type: str) -> Column:
-        return column(source).isNotNull() & column(source).try_cast(data_type).isNull()
+        return column(source).isNotNull() & cast_or_null(df, source, data_type).isNull()
 
     counts = df.agg(
         *[
@@ -104,7 +104,7 @@ def standardize_values(
     sizes = {
         row["dest_name"]: row["bytes"]
         for row in canonical.groupBy("dest_name")
-        .agg(byte_total(["spelling", "canonical"]).alias("bytes"))
+        .agg(byte_total(canonical, "spelling", "canonical").alias("bytes"))
         .collect()
     }
     not_text = [n for n in sizes if not isinstance(df.schema[n].dataType, T.StringType)]

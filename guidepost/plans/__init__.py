@@ -1,6 +1,6 @@
 """Join helpers: measured broadcast, hot keys, and time windows as equal keys."""
 
-from guidepost.plans.ranges import bucket_times, split_windows
+from guidepost.plans.ranges import bucket_times, size_windows, split_windows
 from guidepost.plans.sizes import (
     MAX_BROADCAST_BYTES,
     broadcast_if_small,
@@ -19,5 +19,6 @@ __all__ = [
     "distinct_keys",
     "is_small",
     "shuffle_settings",
+    "size_windows",
     "split_windows",
 ]

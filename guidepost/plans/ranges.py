@@ -28,8 +28,8 @@ def _bucket(day: Column, width: Column) -> Column:
     return F.floor(day / width)
 
 
-def split_windows(df: DataFrame, start: str, end: str) -> DataFrame:
-    """One row for each bucket that a window touches, in ``bucket_width`` and ``bucket``.
+def size_windows(df: DataFrame, start: str, end: str) -> DataFrame:
+    """``df`` with the ``bucket_width`` of each window and its ``first`` and ``last`` bucket.
 
     Windows that hold no time at all (a null bound, or the end before the start) disappear.
     """
@@ -40,18 +40,17 @@ def split_windows(df: DataFrame, start: str, end: str) -> DataFrame:
     return (
         df.where(column(start) <= column(end))
         .withColumn("bucket_width", width)
-        .withColumn(
-            "bucket",
-            F.explode(
-                F.sequence(
-                    _bucket(first, F.col("bucket_width")),
-                    _bucket(last, F.col("bucket_width")),
-                )
-            ),
-        )
+        .withColumn("first_bucket", _bucket(first, F.col("bucket_width")))
+        .withColumn("last_bucket", _bucket(last, F.col("bucket_width")))
     )
 
 
+def split_windows(sized: DataFrame) -> DataFrame:
+    """One row for each bucket that a window of ``size_windows`` touches, in ``bucket``."""
+    steps = F.sequence(F.col("first_bucket"), F.col("last_bucket"))
+    return sized.withColumn("bucket", F.explode(steps)).drop("first_bucket", "last_bucket")
+
+
 def bucket_times(df: DataFrame, time: str, widths: list[int]) -> DataFrame:
     """The rows of ``df`` with the bucket their time falls into, once for each width.
 

@@ -8,32 +8,41 @@ operators measure the small side first.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from guidepost.functions import column
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Room taken by each field of a row in a hash relation besides its text.
-FIELD_OVERHEAD = 16
+# Room that a field takes in a row besides its variable part.
+FIELD_BYTES = 16
+
+_VARIABLE_TYPES = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
+def row_bytes(df: DataFrame, *names: str) -> Column:
+    """Estimated bytes of a row of ``df``, or of the named columns of it."""
+    size = F.lit(0).cast("long")
+    for field in df.schema:
+        if names and field.name not in names:
+            continue
+        size = size + FIELD_BYTES
+        if isinstance(field.dataType, _VARIABLE_TYPES):
+            text = column(field.name).cast("string")
+            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+    return size
 
 
-def byte_total(names: list[str]) -> Column:
-    """Aggregate: estimated bytes of all rows, from the text length of every field."""
-    field_sizes = [
-        F.coalesce(F.octet_length(column(name).cast("string")), F.lit(0)) + FIELD_OVERHEAD
-        for name in names
-    ]
-    row_size = reduce(lambda a, b: a + b, field_sizes)
-    return F.coalesce(F.sum(row_size.cast("long")), F.lit(0))
+def byte_total(df: DataFrame, *names: str, times: Column | int = 1) -> Column:
+    """Aggregate over ``df``: estimated bytes of all rows, each counted ``times`` times."""
+    return F.coalesce(F.sum(row_bytes(df, *names) * times), F.lit(0))
 
 
 def is_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether ``df`` fits into ``max_bytes``, measured by one aggregate over it."""
-    return df.agg(byte_total(df.columns).alias("bytes")).first()["bytes"] <= max_bytes
+    return df.agg(byte_total(df).alias("bytes")).first()["bytes"] <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guidepost import operators as ops
+from guidepost.functions import cast_or_null
 from tests.helpers import SMALL_LIMITS, final_plan_of, plan_of, rows, settings
 
 MAPPING = "source_name string, dest_name string, data_type string"
@@ -43,6 +44,19 @@ def test_column_mapping_renames_casts_and_drops_the_rest(spark):
     )
 
 
+def test_whole_number_pattern_agrees_with_the_cast(spark):
+    texts = ["1", " 2\t", "+3", "-4\n", "5.0", "6e1", "", " ", "+", "- 7", "x8", "9 9", None]
+    texts += ["٣", "\x001", "2147483648", "-99999999999999999999", "0x10", "1L", "１", "\x7f7"]
+    data = spark.createDataFrame([(text,) for text in texts], "v string")
+    for data_type in ("tinyint", "INT", " bigint "):
+        both = data.select(
+            "v",
+            F.col("v").try_cast(data_type.strip()).alias("plain"),
+            cast_or_null(data, "v", data_type).alias("checked"),
+        )
+        assert both.where("plain IS DISTINCT FROM checked").collect() == []
+
+
 def test_column_mapping_errors(spark):
     data = spark.createDataFrame([(1, 2)], "a int, b int")
 

@@ -10,6 +10,7 @@ from guidepost.plans import (
     byte_total,
     is_small,
     shuffle_settings,
+    size_windows,
     split_windows,
 )
 from tests.helpers import plan_of, settings
@@ -44,14 +45,15 @@ def test_filters_reach_the_scan(spark):
 
 def test_size_check(spark):
     df = spark.createDataFrame([("abc", None), ("ñ", 10)], "a string, b int")
-    # Bytes of text: 3 + 0 + 2 + 2, and 16 for each of four fields.
-    assert df.agg(byte_total(df.columns)).first()[0] == 7 + 4 * 16
-    assert is_small(df, 71) and not is_small(df, 70)
+    # Bytes of text: 3 + 2, and 16 for each of four fields.
+    assert df.agg(byte_total(df)).first()[0] == 5 + 4 * 16
+    assert df.agg(byte_total(df, "b", times=3)).first()[0] == 2 * 16 * 3
+    assert is_small(df, 69) and not is_small(df, 68)
     assert is_small(df.where("false"), 0)
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         left = spark.range(5).withColumn("a", F.col("id").cast("string"))
-        assert "BroadcastHashJoin" in plan_of(left.join(broadcast_if_small(df, 71), "a"))
-        assert "SortMergeJoin" in plan_of(left.join(broadcast_if_small(df, 70), "a"))
+        assert "BroadcastHashJoin" in plan_of(left.join(broadcast_if_small(df, 69), "a"))
+        assert "SortMergeJoin" in plan_of(left.join(broadcast_if_small(df, 68), "a"))
 
 
 def test_a_window_never_becomes_many_buckets(spark):
@@ -61,7 +63,7 @@ def test_a_window_never_becomes_many_buckets(spark):
                   + make_dt_interval(CAST(pow(2, id) AS INT)) AS e
            FROM range(22)"""
     )
-    pieces = split_windows(df, "s", "e").groupBy("e", "bucket_width").count()
+    pieces = split_windows(size_windows(df, "s", "e")).groupBy("e", "bucket_width").count()
     found = pieces.collect()
     assert len(found) == 22
     assert {r["bucket_width"] for r in found} == {1, 32, 1024, 32768}
