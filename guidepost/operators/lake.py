@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from functools import reduce
 
@@ -11,19 +12,32 @@ from pyspark.sql import types as T
 
 from guidepost.plans import broadcast_if_small
 
-SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+# Scheme and host of a path: empty for a path of the default store, "s3a://bucket" for
+# another, "file:" or "file://" where the scheme needs no host.
+STORE = "^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?"
 
+# Characters that Spark reports as percent escapes in file paths.
+ESCAPED = "% \"#<>[\\]^`{|}"
 
-def _qualified(path: Column) -> Column:
-    """One spelling of a path with a scheme: no empty host, no doubled or final slash."""
-    without_host = F.regexp_replace(path, "(" + SCHEME + ")///+", "$1/")
-    return F.regexp_replace(F.regexp_replace(without_host, "(?<!:)/+", "/"), "/$", "")
 
+def _escape(path: Column) -> Column:
+    for char in ESCAPED:
+        path = F.replace(path, F.lit(char), F.lit(f"%{ord(char):02X}"))
+    return path
 
-def _bare(path: Column) -> Column:
-    """The same for a path without scheme and host."""
-    local = F.regexp_replace(path, SCHEME + "(//[^/]*)?", "")
-    return F.regexp_replace(F.regexp_replace(local, "/+", "/"), "/$", "")
+
+def _owned_directories(paths: DataFrame, root: str | None) -> DataFrame:
+    """Extraction ids and directories, the latter as ``store`` and ``inner`` path."""
+    full = F.col("directory")
+    if root is not None:
+        full = F.concat(F.lit(root.rstrip("/") + "/"), F.ltrim(full, F.lit("/")))
+    store = F.regexp_extract(full, STORE, 0)
+    inner = F.regexp_replace(F.regexp_replace(full, STORE, ""), "/+", "/")
+    return paths.select(
+        "extraction_id",
+        F.regexp_replace(store, "//$", "").alias("store"),
+        F.rtrim(inner, F.lit("/")).alias("inner"),
+    ).distinct()
 
 
 def read_resolved(
@@ -41,47 +55,55 @@ def read_resolved(
     Without ``schema`` the files define it, and a column that only some directories have is
     null in the others. ``options`` go to the reader, e.g. ``basePath`` to keep partition
     columns.
-    """
-    full = F.col("directory")
-    if root is not None:
-        full = F.concat(F.lit(root.rstrip("/") + "/"), F.ltrim(full, F.lit("/")))
-    has_scheme = full.rlike(SCHEME)
-    wanted = paths.select(
-        "extraction_id",
-        full.alias("_location"),
-        has_scheme.alias("_has_scheme"),
-        F.when(has_scheme, _qualified(full)).otherwise(_bare(full)).alias("_directory"),
-    ).distinct()
 
-    # Directories read together share a depth, so that a prefix of the file path names the
-    # directory however deep below it the file lies.
-    depth = F.size(F.split("_directory", "/"))
-    listed = wanted.groupBy("_directory", "_has_scheme", depth.alias("depth")).agg(
-        F.min("_location").alias("location")
-    )
-    groups: dict[tuple[bool, int], list[str]] = {}
-    for row in listed.toLocalIterator():
-        if not row["_has_scheme"] and not row["location"].startswith("/"):
-            raise ValueError(f"directory {row['location']!r} is relative: pass root")
-        groups.setdefault((row["_has_scheme"], row["depth"]), []).append(row["location"])
+    Rows find their extraction by the prefix of their file's path. One read takes the
+    directories of one store and depth, so the prefix is cut at a fixed place, however deep
+    below the directory the file lies.
+    """
+    owned = _owned_directories(paths, root)
+    groups: dict[tuple[str, int], list[str]] = {}
+    for row in owned.select("store", "inner").distinct().toLocalIterator():
+        store, inner = row["store"], row["inner"]
+        if not inner.startswith("/"):
+            raise ValueError(f"directory {store + inner!r} is relative: pass root")
+        groups.setdefault((store, inner.count("/")), []).append(store + inner)
     if not groups:
         raise LookupError("no directory was resolved, so there is nothing to read")
 
     reader = spark.read.options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    scans = [
-        _with_directory(reader.parquet(*locations), qualified, depth)
-        for (qualified, depth), locations in groups.items()
+    reads = [
+        _with_extraction(
+            reader.parquet(*directories),
+            owned.where(
+                (F.col("store") == F.lit(store))
+                & (F.regexp_count("inner", F.lit("/")) == depth)
+            ),
+            depth,
+        )
+        for (store, depth), directories in groups.items()
     ]
-    data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    owners = wanted.select("extraction_id", "_directory").distinct()
-    return data.join(broadcast_if_small(owners), "_directory").drop("_directory")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reads)
 
 
-def _with_directory(data: DataFrame, qualified: bool, depth: int) -> DataFrame:
-    # Spark reports file paths with percent escapes; a plus sign is not one of them.
-    escaped = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    path = F.url_decode(escaped)
-    spelled = _qualified(path) if qualified else _bare(path)
-    return data.withColumn("_directory", F.substring_index(spelled, "/", depth))
+def _with_extraction(data: DataFrame, owned: DataFrame, depth: int) -> DataFrame:
+    file_path = F.col("_metadata.file_path")
+    # Spark spells out the store of a path that names none or part of it. One path tells how.
+    example = data.select(file_path.alias("path")).first()
+    store = re.match(STORE, example["path"]).group() if example else ""
+    owners = owned.select(
+        "extraction_id",
+        F.concat(F.lit(store), _escape(F.col("inner"))).alias("_directory"),
+        F.lit(True).alias("_is_owned"),
+    )
+    prefix = F.substring_index(file_path, "/", store.count("/") + depth + 1)
+    matched = data.withColumn("_directory", prefix).join(
+        broadcast_if_small(owners), "_directory", "left"
+    )
+    # Every file lies below a directory that was asked for; a row without one must not get lost.
+    unowned = F.raise_error(F.concat(F.lit("no extraction owns "), F.col("_directory")))
+    return matched.withColumn(
+        "extraction_id",
+        F.when(F.col("_is_owned"), F.col("extraction_id")).otherwise(unowned),
+    ).drop("_directory", "_is_owned")

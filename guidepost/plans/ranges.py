@@ -16,8 +16,8 @@ from guidepost.functions import column
 
 # Bucket widths in days. A window takes the first one that covers it in MAX_STEPS steps or
 # fewer, or else the last.
-WIDTHS = (1, 32, 1024, 32768)
-MAX_STEPS = 32
+WIDTHS = (1, 8, 64, 512, 4096, 32768)
+MAX_STEPS = 8
 
 
 def _day_number(time: Column) -> Column:
