@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from guidepost.plans import broadcast_if_small
+from guidepost.sources import snapshot
 
 # Scheme and host of a path: empty for a path of the default store, "s3a://bucket" for
 # another, "file:" or "file://" where the scheme needs no host.
@@ -60,7 +61,7 @@ def read_resolved(
     directories of one store and depth, so the prefix is cut at a fixed place, however deep
     below the directory the file lies.
     """
-    owned = _owned_directories(paths, root)
+    owned = snapshot(_owned_directories(paths, root), "directories")
     groups: dict[tuple[str, int], list[str]] = {}
     for row in owned.select("store", "inner").distinct().toLocalIterator():
         store, inner = row["store"], row["inner"]

@@ -16,6 +16,7 @@ from guidepost.plans import (
     size_windows,
     split_windows,
 )
+from guidepost.sources import snapshot
 
 INDEX_KEYS = ["project", "theme", "extraction_name"]
 
@@ -65,13 +66,15 @@ def resolve_paths(
     ``mode="window"`` keeps partitions whose hour lies in the extraction's delta window, both
     ends included. ``mode="flag"`` keeps partitions whose delta flag is set, at any time.
 
-    The windows of a target are few and the index is long, so targets and windows are measured
-    first (two jobs over the control tables). If they are small they are broadcast, and
-    only index entries that match are shuffled. Otherwise both sides are shuffled.
+    The windows of a target are few and the index is long, so the windows are computed and
+    measured first (small jobs over the control tables); the index is read when the result is.
+    Small windows are broadcast, and only index entries that match are shuffled.
+    Otherwise both sides are shuffled.
     """
     if mode not in ("window", "flag"):
         raise ValueError(f"mode must be 'window' or 'flag', not {mode!r}")
-    windows = extraction_windows(targets, extractions, theme, target, max_broadcast_bytes)
+    chosen = extraction_windows(targets, extractions, theme, target, max_broadcast_bytes)
+    windows = snapshot(chosen, "windows")
     match = _match_windows if mode == "window" else _match_flags
     return match(windows, index, max_broadcast_bytes).select(*PATH_COLUMNS).distinct()
 

@@ -7,7 +7,7 @@ from guidepost.sources.catalog import (
     load_catalog,
     to_source_names,
 )
-from guidepost.sources.scratch import new_scratch_path
+from guidepost.sources.scratch import new_scratch_path, snapshot
 from guidepost.sources.tables import (
     JdbcSource,
     ParquetSource,
@@ -27,6 +27,7 @@ __all__ = [
     "load_catalog",
     "new_scratch_path",
     "read_table",
+    "snapshot",
     "sql_server_source",
     "to_source_names",
     "write_table",

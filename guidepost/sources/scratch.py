@@ -3,7 +3,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from guidepost.sources.tables import write_table
 
 
 def new_scratch_path(spark: SparkSession, purpose: str) -> str:
@@ -18,3 +20,14 @@ def new_scratch_path(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="guidepost-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def snapshot(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` computed once, kept as a table in the shared folder.
+
+    For small results that several jobs read: they must all see the same rows even if a
+    control table changes meanwhile or an executor is lost.
+    """
+    path = new_scratch_path(df.sparkSession, purpose)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -257,6 +257,6 @@ def test_hot_keys_are_split_when_nothing_can_be_broadcast(spark):
             targets, extractions, index, "a", "x", "window", max_broadcast_bytes=0
         )
         plan = final_plan_of(paths)
-        assert plan.count("SortMergeJoin(skew=true)") == 2
+        assert "SortMergeJoin(skew=true)" in plan
     expected = ops.resolve_paths(targets, extractions, index, "a", "x", "window")
     assert paths.count() == expected.count() > 0
