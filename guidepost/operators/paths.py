@@ -31,25 +31,13 @@ PATH_COLUMNS = [
 
 
 def extraction_windows(
-    targets: DataFrame,
-    extractions: DataFrame,
-    theme: str | None,
-    target: str | None,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    targets: DataFrame, extractions: DataFrame, theme: str | None, target: str | None
 ) -> DataFrame:
-    """Distinct extractions of the chosen targets with their index keys and windows.
-
-    Usually few targets are chosen, and a broadcast leaves few extractions to shuffle. With
-    many, repeated extractions are merged before the join, which can then split hot targets.
-    """
-    chosen = targets.where(is_target(theme, target)).select("target_id")
-    wanted = distinct_keys(chosen, "target_id")
-    rows = extractions.select(
+    """Extractions of the chosen targets with their index keys and windows."""
+    wanted = distinct_keys(targets.where(is_target(theme, target)), "target_id")
+    return extractions.select(
         "extraction_id", *INDEX_KEYS, "target_id", "delta_start", "delta_end"
-    )
-    if is_small(chosen, max_broadcast_bytes):
-        return rows.join(F.broadcast(wanted), "target_id").distinct()
-    return rows.distinct().join(wanted, "target_id")
+    ).join(wanted, "target_id")
 
 
 def resolve_paths(
@@ -73,8 +61,7 @@ def resolve_paths(
     """
     if mode not in ("window", "flag"):
         raise ValueError(f"mode must be 'window' or 'flag', not {mode!r}")
-    chosen = extraction_windows(targets, extractions, theme, target, max_broadcast_bytes)
-    windows = snapshot(chosen, "windows")
+    windows = snapshot(extraction_windows(targets, extractions, theme, target), "windows")
     match = _match_windows if mode == "window" else _match_flags
     return match(windows, index, max_broadcast_bytes).select(*PATH_COLUMNS).distinct()
 
@@ -95,14 +82,15 @@ def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> Data
     )
     keys = [*INDEX_KEYS, "bucket_width", "bucket"]
     small = measured["bytes"] <= max_bytes
-    return _join_entries(entries, split_windows(sized), keys, small).where(
+    return _join_entries(entries, split_windows(sized.distinct()), keys, small).where(
         F.col("partition_time").between(F.col("delta_start"), F.col("delta_end"))
     )
 
 
 def _match_flags(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
     entries = index.where(flag_is_set(index, "delta_flag")).select(*INDEX_KEYS, "directory")
-    return _join_entries(entries, windows, INDEX_KEYS, is_small(windows, max_bytes))
+    small = is_small(windows, max_bytes)
+    return _join_entries(entries, windows.distinct(), INDEX_KEYS, small)
 
 
 def _join_entries(

@@ -250,7 +250,7 @@ def test_small_windows_are_broadcast_and_the_index_is_filtered_before_its_shuffl
 def test_hot_keys_are_split_when_nothing_can_be_broadcast(spark):
     targets, extractions, index = big_inputs(spark)
     with settings(spark, **SMALL_LIMITS):
-        windows = ops.extraction_windows(targets, extractions, "a", "x", 0)
+        windows = ops.extraction_windows(targets, extractions, "a", "x")
         assert "SortMergeJoin(skew=true)" in final_plan_of(windows)
         assert windows.count() == 30_000
         paths = ops.resolve_paths(
