@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from guidepost.functions import canonical_text, cast_or_null, column
 from guidepost.plans import MAX_BROADCAST_BYTES, byte_total
+from guidepost.sources import snapshot
 
 # A mapping becomes the column list of a query, so it has to be of a size Spark can plan.
 MAX_COLUMNS = 10_000
@@ -90,16 +91,17 @@ def standardize_values(
     A value matches a target of its column if both are equal without outer blanks and
     capitals. If several targets match, the smallest is used; values without one stay.
 
-    One job finds the columns that have targets and how large the targets are. Small target
-    sets are broadcast, so ``df`` is not shuffled; for a larger one it is a shuffle join, in which
-    adaptive execution splits frequent values.
+    The targets are read once, into a table with a directory for each column, and measured.
+    A small directory is broadcast, so ``df`` is not shuffled; a larger one makes it
+    a shuffle join, in which adaptive execution splits frequent values.
     """
-    canonical = (
+    standards = (
         value_targets.where(F.col("dest_name").isin(df.columns))
         .groupBy("dest_name", canonical_text(F.col("target_value")).alias("spelling"))
         .agg(F.min("target_value").alias("canonical"))
         .where(F.col("spelling").isNotNull())
     )
+    canonical = snapshot(standards, "standards", partition_by=["dest_name"])
     # At most one row for each column of df.
     sizes = {
         row["dest_name"]: row["bytes"]

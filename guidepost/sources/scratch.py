@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,12 +23,12 @@ def new_scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def snapshot(df: DataFrame, purpose: str) -> DataFrame:
+def snapshot(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` computed once, kept as a table in the shared folder.
 
     For small results that several jobs read: they must all see the same rows even if a
     control table changes meanwhile or an executor is lost.
     """
     path = new_scratch_path(df.sparkSession, purpose)
-    write_table(df, path)
+    write_table(df, path, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
