@@ -87,17 +87,17 @@ def _batches(items: Iterator[str], size: int) -> Iterator[list[str]]:
 
 
 def _count_failures(df: DataFrame, formulas: list[str]) -> DataFrame:
-    passed = [F.coalesce(F.expr(text).cast("boolean"), F.lit(False)) for text in formulas]
+    # Passes are counted, as count skips nulls: a formula is evaluated once, in short code.
     counts = df.agg(
         F.count(F.lit(1)).alias("rows_checked"),
-        *[F.count_if(~ok).alias(f"failed_{i}") for i, ok in enumerate(passed)],
+        *[
+            F.count(F.when(F.expr(text), F.lit(1))).alias(f"passed_{i}")
+            for i, text in enumerate(formulas)
+        ],
+    )
+    passed = F.array(*[F.col(f"passed_{i}") for i in range(len(formulas))])
+    return counts.select("rows_checked", F.posexplode(passed).alias("i", "passed")).select(
+        F.get(F.lit(formulas), F.col("i")).alias("formula"),
+        "rows_checked",
+        (F.col("rows_checked") - F.col("passed")).alias("rows_failed"),
     )
-    rows = [
-        F.struct(
-            F.lit(text).alias("formula"),
-            F.col("rows_checked"),
-            F.col(f"failed_{i}").alias("rows_failed"),
-        )
-        for i, text in enumerate(formulas)
-    ]
-    return counts.select(F.inline(F.array(*rows)))
