@@ -27,7 +27,7 @@ def render_templates(
     pattern = F.lit(TOKEN_PATTERN)
     found = F.regexp_extract_all(column(template), pattern, 0)
     tagged = templates.withColumn("_found", found).withColumn(
-        "_tokens", F.array_sort(F.array_distinct("_found"))
+        "_tokens", F.sort_array(F.array_distinct("_found"))
     )
 
     names = (
