@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from guidepost.plans import broadcast_if_small
+from guidepost.plans import MAX_BROADCAST_BYTES, broadcast_if_small
 from guidepost.sources import snapshot
 
 # Scheme and host of a path: empty for a path of the default store, "s3a://bucket" for
@@ -47,6 +47,7 @@ def read_resolved(
     root: str | None = None,
     schema: T.StructType | str | None = None,
     options: Mapping[str, str] | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows of the parquet files below the directories in ``paths``, each with the
     ``extraction_id`` that asked for its directory; a row appears once for each of them.
@@ -82,13 +83,16 @@ def read_resolved(
                 & (F.regexp_count("inner", F.lit("/")) == depth)
             ),
             depth,
+            max_broadcast_bytes,
         )
         for (store, depth), directories in groups.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reads)
 
 
-def _with_extraction(data: DataFrame, owned: DataFrame, depth: int) -> DataFrame:
+def _with_extraction(
+    data: DataFrame, owned: DataFrame, depth: int, max_bytes: int
+) -> DataFrame:
     file_path = F.col("_metadata.file_path")
     # Spark spells out the store of a path that names none or part of it. One path tells how.
     example = data.select(file_path.alias("path")).first()
@@ -100,7 +104,7 @@ def _with_extraction(data: DataFrame, owned: DataFrame, depth: int) -> DataFrame
     )
     prefix = F.substring_index(file_path, "/", store.count("/") + depth + 1)
     matched = data.withColumn("_directory", prefix).join(
-        broadcast_if_small(owners), "_directory", "left"
+        broadcast_if_small(owners, max_bytes), "_directory", "left"
     )
     # Every file lies below a directory that was asked for; a row without one must not get lost.
     unowned = F.raise_error(F.concat(F.lit("no extraction owns "), F.col("_directory")))
