@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from guidepost.llm.mixing import mix_report
+from guidepost.llm.quality_rules import judge
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,4 +16,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op5_mixing,)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {query.__name__: query for query in (op5_mixing, op10_quality_rules)}
