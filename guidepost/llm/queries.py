@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from guidepost.llm.mixing import mix_report
 from guidepost.llm.quality_rules import judge
+from guidepost.llm.simhash import near_duplicates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -20,4 +25,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op5_mixing, op10_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_simhash, op5_mixing, op10_quality_rules)}
