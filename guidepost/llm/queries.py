@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from guidepost.llm.mixing import mix_report
+from guidepost.llm.pii import find_personal_data
 from guidepost.llm.quality_rules import judge
 from guidepost.llm.simhash import near_duplicates
 
@@ -17,6 +18,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -25,4 +30,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash, op5_mixing, op10_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_simhash, op3_pii, op5_mixing, op10_quality_rules)}
