@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from guidepost.llm.decontaminate import contamination
 from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
 from guidepost.llm.quality_rules import judge
@@ -22,6 +23,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
@@ -30,4 +35,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash, op3_pii, op5_mixing, op10_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_simhash, op3_pii, op4_decontamination, op5_mixing, op10_quality_rules)}
