@@ -14,13 +14,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from guidepost.functions import column
-from guidepost.llm.frames import fresh
+from guidepost.llm.frames import Shared, fresh
 from guidepost.sources.scratch import snapshot
 
 TILE = 5  # tokens of the shortest tile
@@ -135,7 +134,7 @@ def _index_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Ind
         yield Index.of([(row["item"], row["text"]) for row in own])
 
 
-def _finder(held: Broadcast, coverage: float, kind: T.StructType) -> Callable[[Column], Column]:
+def _finder(held: Shared, coverage: float, kind: T.StructType) -> Callable[[Column], Column]:
     def find(texts: pd.Series) -> pd.DataFrame:
         own = held.value
         rows = []
@@ -170,7 +169,7 @@ def with_coverage(
     for number, index in enumerate(_index_blocks(benchmark, item_id, item_text)):
         if number:
             docs = snapshot(docs, "decontaminate")
-        new = _finder(spark.sparkContext.broadcast(index), coverage, kind)(column(text))
+        new = _finder(Shared(spark, index), coverage, kind)(column(text))
         if number:
             found = fresh(docs, "found")
             docs = docs.withColumn(found, new)

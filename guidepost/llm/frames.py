@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,6 +60,25 @@ def per_row(
     return df.mapInArrow(run, result)
 
 
+class Shared:
+    """A value of bounded size that tasks get once for each worker.
+
+    It travels as bytes, so that classes of this package go with it.
+    """
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict:
+        return {"_sent": self._sent}
+
+    @property
+    def value(self) -> object:
+        if not hasattr(self, "_value"):
+            self._value = cloudpickle.loads(self._sent.value)
+        return self._value
+
+
 BLOCK_BYTES = 2 * 1024 * 1024
 
 

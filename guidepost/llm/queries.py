@@ -9,6 +9,7 @@ from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
 from guidepost.llm.quality_rules import judge
 from guidepost.llm.simhash import near_duplicates
+from guidepost.llm.toxicity import toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -35,4 +40,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash, op3_pii, op4_decontamination, op5_mixing, op10_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_simhash, op2_toxicity, op3_pii, op4_decontamination, op5_mixing, op10_quality_rules)}

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from guidepost.functions import column
 from guidepost.llm.components import Forest, components
-from guidepost.llm.frames import fresh, per_row
+from guidepost.llm.frames import Shared, fresh, per_row
 from guidepost.llm.vantage import build, pairs_within, route
 from guidepost.sources.scratch import snapshot
 
@@ -83,7 +83,7 @@ def links(points: DataFrame, reach: int) -> DataFrame:
     sample = np.sort(rows["point"].to_numpy(np.int64)).view(np.uint64)
     sample = np.random.default_rng(1).permutation(sample)
     tree, _ = build(sample, SAMPLE_PER_SHARD, reach)
-    held = spark.sparkContext.broadcast(tree)
+    held = Shared(spark, tree)
 
     def deal(batches):
         for batch in batches:
