@@ -9,6 +9,7 @@ from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
 from guidepost.llm.quality_rules import judge
 from guidepost.llm.simhash import near_duplicates
+from guidepost.llm.suffix_dedup import repeated_substrings
 from guidepost.llm.toxicity import toxicity
 
 
@@ -36,8 +37,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_substrings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash, op2_toxicity, op3_pii, op4_decontamination, op5_mixing, op10_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_simhash, op2_toxicity, op3_pii, op4_decontamination, op5_mixing, op7_suffix_dedup, op10_quality_rules)}
