@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from guidepost.llm.chunks import without_repeated_chunks
 from guidepost.llm.decontaminate import contamination
 from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
@@ -37,6 +38,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_chunks(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_substrings(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -45,4 +50,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash, op2_toxicity, op3_pii, op4_decontamination, op5_mixing, op7_suffix_dedup, op10_quality_rules)}
+QUERIES = {query.__name__: query for query in (op1_simhash, op2_toxicity, op3_pii, op4_decontamination, op5_mixing, op6_chunk_dedup, op7_suffix_dedup, op10_quality_rules)}
