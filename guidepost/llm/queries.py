@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from guidepost.llm.chunks import without_repeated_chunks
 from guidepost.llm.decontaminate import contamination
+from guidepost.llm.language import identify
 from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
+from guidepost.llm.quality_model import quality
 from guidepost.llm.quality_rules import judge
 from guidepost.llm.simhash import near_duplicates
 from guidepost.llm.suffix_dedup import repeated_substrings
@@ -46,8 +48,30 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_substrings(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {query.__name__: query for query in (op1_simhash, op2_toxicity, op3_pii, op4_decontamination, op5_mixing, op6_chunk_dedup, op7_suffix_dedup, op10_quality_rules)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_simhash,
+        op2_toxicity,
+        op3_pii,
+        op4_decontamination,
+        op5_mixing,
+        op6_chunk_dedup,
+        op7_suffix_dedup,
+        op8_language,
+        op9_quality_model,
+        op10_quality_rules,
+    )
+}
