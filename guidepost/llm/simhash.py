@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from guidepost.functions import column
 from guidepost.llm.components import Forest, components
-from guidepost.llm.frames import Shared, fresh, per_row
+from guidepost.llm.frames import Shared, per_row
 from guidepost.llm.vantage import build, pairs_within, route
 from guidepost.sources.scratch import snapshot
 
@@ -158,18 +158,22 @@ def drop_near_duplicates(
     The row with the smallest id stays (a null id is the largest), of several such rows the one
     whose columns hash lowest. Equal rows are one row.
     """
-    key, id_ = fresh(docs, "row_key"), column(doc_id)
+    id_ = column(doc_id)
     content = F.xxhash64(*[column(c) for c in docs.columns])
-    keyed = docs.withColumn(key, F.struct(id_.isNull().alias("no"), id_.alias("id"), content.alias("hash")))
-    rows = keyed.select(F.col(key).alias("id"), column(text))
-    marked = snapshot(_fingerprints(rows, text, length), "simhash-rows")
+    key = F.struct(id_.isNull().alias("no"), id_.alias("id"), content.alias("hash"))
+    keyed = docs.select(
+        F.struct(*[column(c) for c in docs.columns]).alias("row"),
+        key.alias("key"),
+        content.alias("hash"),
+        column(text).alias("text"),
+    )
+    rows = keyed.select(F.col("key").alias("id"), "text")
+    marked = snapshot(_fingerprints(rows, "text", length), "simhash-rows")
     groups = snapshot(_grouped(marked, reach), "simhash-groups")
     first = marked.groupBy("point").agg(F.min("id").alias("first"))
     kept = first.join(groups, "point").groupBy("group").agg(F.min("first").alias("kept"))
-    stays = snapshot(kept.select(F.col("kept.hash").alias("hash"), "kept"), "simhash-kept")
-    hash_ = fresh(keyed, "row_hash")
-    hashed = keyed.withColumn(hash_, F.col(f"{key}.hash"))
-    found = hashed.join(
-        stays, (F.col(hash_) == F.col("hash")) & F.col(key).eqNullSafe(F.col("kept")), "left_semi"
+    stays = snapshot(kept.select(F.col("kept.hash").alias("kept_hash"), "kept"), "simhash-kept")
+    found = keyed.drop("text").join(
+        stays, (F.col("hash") == F.col("kept_hash")) & F.col("key").eqNullSafe(F.col("kept"))
     )
-    return found.dropDuplicates([hash_, key]).select(*[column(c) for c in docs.columns])
+    return found.dropDuplicates(["hash", "key"]).select("row.*")
