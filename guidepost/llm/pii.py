@@ -230,7 +230,8 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 def added_spans(
     text: str, base: dict[str, list[tuple[int, int]]]
 ) -> dict[str, list[tuple[int, int]]]:
-    """Identifiers seen only after rewriting, as spans of the source, apart from base ones."""
+    """Identifiers seen only after rewriting, as spans of the source that no base span of the
+    kind contains."""
     found: dict[str, list[tuple[int, int]]] = {kind: [] for kind in KINDS}
     copy = None
     for may_match, pattern, write in TRANSDUCERS:
@@ -244,7 +245,7 @@ def added_spans(
         for a, b in spans:
             start, end = copy.start[a], copy.end[b - 1]
             is_new = text[start:end] != copy.text[a:b]
-            if is_new and not any(start < t and s < end for s, t in known):
+            if is_new and not any(s <= start and end <= t for s, t in known):
                 found[kind].append((start, end))
     return found
 

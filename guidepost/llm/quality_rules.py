@@ -16,6 +16,8 @@ from guidepost.sources.scratch import snapshot
 
 BAD, NONE, GOOD = 0, 1, 2
 
+POOR_SHARE = 0.25  # of texts that are taken to be poor before any vote is heard
+
 WINDOW = 8  # words of a window that may come twice
 
 # Kinds of bytes that the rules count.
@@ -119,14 +121,14 @@ RULES = (
     Rule("long words", "word_chars", "n_words", bad=1400, good=1000, least=5),
     Rule("short words", "word_chars", "n_words", bad=200, good=300, least=5),
     Rule("digits", "n_digits", "word_chars", bad=30, good=10, least=20),
-    Rule("repeated lines", "n_dup_lines", "n_lines", bad=30, good=5, least=3),
-    Rule("repeated words", "n_repeat_words", "n_words", bad=20, good=5, least=20),
+    Rule("repeated lines", "n_dup_lines", "n_lines", bad=60, good=5, least=5),
+    Rule("repeated words", "n_repeat_words", "n_words", bad=30, good=5, least=20),
     Rule("vocabulary", "n_distinct_words", "n_words", bad=15, good=30, least=50),
 )
 
 
 def posteriors(
-    votes: np.ndarray, counts: np.ndarray, rounds: int = 100
+    votes: np.ndarray, counts: np.ndarray, poor: float = POOR_SHARE, rounds: int = 200
 ) -> tuple[np.ndarray, np.ndarray]:
     """Probability of quality for each pattern of votes, and each rule's accuracies.
 
@@ -135,16 +137,18 @@ def posteriors(
     with a probability of its own in either class, and one that abstains says nothing. The
     start believes every bad vote; the rounds then find which rules deserve it. A rule's
     accuracy in a class is the share of right votes.
+
+    The balance of the classes, ``poor``, is given. Faults of different kinds seldom meet in one
+    text, so that votes alone would let the smaller class shrink to one kind of fault.
     """
     good = np.where((votes == BAD).any(1), 0.02, 0.98)
     bad, spoke = (votes == BAD).astype(float), (votes != NONE).astype(float)
+    prior = np.log([poor, 1 - poor])[:, None]
     for _ in range(rounds):
         weight = np.stack([counts * (1 - good), counts * good])
-        says_bad = (weight @ bad + 1) / (weight @ spoke + 2)
-        prior = (weight.sum(1) + 1) / (counts.sum() + 2)
-        log = np.log(prior)[:, None] + (
-            np.log(says_bad) @ bad.T + np.log(1 - says_bad) @ (spoke - bad).T
-        )
+        says_bad = (weight @ bad + 1e-3) / (weight @ spoke + 1e-2)
+        says_bad = np.clip(says_bad, 1e-9, 1 - 1e-9)
+        log = prior + np.log(says_bad) @ bad.T + np.log(1 - says_bad) @ (spoke - bad).T
         good = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
     return good, np.stack([says_bad[0], 1 - says_bad[1]])
 

@@ -32,6 +32,7 @@ WORD_BITS = 17  # words are counted by hash, so that no table grows with the voc
 PAIR_BITS = 20
 SKETCH = 3  # words of the shingles by whose least hash copies are told
 THRESHOLD = 0.3
+EXPECTED = 0.1  # share of toxic texts before any label is seen, worth ten labels
 FOLDS, HELD_OUT = 4, 2
 
 _TOKENS = bytes(
@@ -258,7 +259,7 @@ def train_model(
     rows_aside = sample.where(aside).select(F.col("label").alias("id"), "text")
     found = per_row(rows_aside, kinds, weigh).toPandas()
     seen = found["label"].to_numpy(float)
-    model.prior = float((seen.sum() + 1) / (len(seen) + 2))
+    model.prior = float((seen.sum() + 10 * EXPECTED) / (len(seen) + 10))
     used = found[found["n"] > 0]
     known = used["label"].to_numpy(float)
     if 0 < known.sum() < len(known):
