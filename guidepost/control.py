@@ -6,7 +6,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from guidepost import operators
-from guidepost.sources import JdbcSource, ParquetSource, load_catalog
+from guidepost.sources import (
+    CONTROL_TABLES,
+    SOURCE_NAMES,
+    ControlTable,
+    JdbcSource,
+    ParquetSource,
+    load_catalog,
+)
 
 
 class ControlTables:
@@ -21,9 +28,19 @@ class ControlTables:
 
     @classmethod
     def load(
-        cls, spark: SparkSession, sources: Mapping[str, ParquetSource | JdbcSource]
+        cls,
+        spark: SparkSession,
+        sources: Mapping[str, ParquetSource | JdbcSource],
+        more_tables: Mapping[str, ControlTable] | None = None,
+        more_names: Mapping[str, str] | None = None,
     ) -> ControlTables:
-        return cls(load_catalog(spark, sources))
+        """The control tables from their sources.
+
+        ``more_tables`` adds roles that the control databases do not name themselves, such as
+        ``quality_rules``; ``more_names`` renames further columns.
+        """
+        tables = CONTROL_TABLES | dict(more_tables or {})
+        return cls(load_catalog(spark, sources, tables, SOURCE_NAMES | dict(more_names or {})))
 
     def __getitem__(self, role: str) -> DataFrame:
         return self.tables[role]
@@ -93,3 +110,9 @@ class ControlTables:
 
     def advance_deltas(self, ids: DataFrame, key: str = "extraction_id") -> DataFrame:
         return operators.advance_deltas(self["extractions"], ids, key)
+
+    def advance_target_deltas(self, ids: DataFrame) -> DataFrame:
+        """The targets with their own delta values moved on."""
+        return operators.advance_deltas(
+            self["targets"], ids, "target_id", "delta_value_start", "delta_value_end"
+        )

@@ -7,6 +7,7 @@ from guidepost.functions.columns import (
     column,
     column_token,
     flag_is_set,
+    free_name,
     partition_time,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "column",
     "column_token",
     "flag_is_set",
+    "free_name",
     "partition_time",
 ]

@@ -19,6 +19,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cast_or_null(df: DataFrame, name: str, data_type: str) -> Column:
     """A column of ``df`` as another type, null where the value does not fit.
 

@@ -17,6 +17,7 @@ from guidepost.operators.lookups import (
 from guidepost.operators.paths import extraction_windows, resolve_paths
 from guidepost.operators.quality import evaluate_quality, quality_criteria, valid_rules
 from guidepost.operators.standardize import (
+    absent_columns,
     apply_column_mapping,
     count_bad_casts,
     standardize_values,
@@ -24,6 +25,7 @@ from guidepost.operators.standardize import (
 from guidepost.operators.templates import render_templates
 
 __all__ = [
+    "absent_columns",
     "advance_deltas",
     "apply_column_mapping",
     "column_mapping",

@@ -3,32 +3,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guidepost.functions import column
-from guidepost.plans import distinct_keys
+from guidepost.functions import column, free_name
+from guidepost.plans import MAX_BROADCAST_BYTES, broadcast_if_small, distinct_keys
+from guidepost.sources import snapshot
 
 
 def advance_deltas(
-    extractions: DataFrame, ids: DataFrame, key: str = "extraction_id"
+    table: DataFrame,
+    ids: DataFrame,
+    key: str = "extraction_id",
+    start: str = "delta_start",
+    end: str = "delta_end",
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """New version of the extractions table with the windows of the given ids moved on.
+    """New version of a table with the windows of the given ids moved on.
 
     A moved window starts where the old one ended and keeps its length. ``key`` names the
-    column that ``ids`` holds: ``extraction_id`` or ``target_id``. Other rows stay as they
-    are, and nothing is written: pass the result to ``write_table`` under a new path.
+    column that ``ids`` holds: ``extraction_id`` or ``target_id``. The windows are those of the
+    extractions, or, with other ``start`` and ``end`` columns, the delta values that targets have
+    of their own. Other rows stay as they are, and nothing is written: pass the result to
+    ``write_table`` under a new path.
 
+    The ids are stored and measured; small ones are broadcast, so the table is not shuffled.
     The rule is this library's own: the source system hides its rule in a procedure.
     """
     if key not in ("extraction_id", "target_id"):
         raise ValueError(f"key must be 'extraction_id' or 'target_id', not {key!r}")
-    start, end = F.col("delta_start"), F.col("delta_end")
-    moved = distinct_keys(ids, key).withColumn("is_moved", F.lit(True))
+    first, last = column(start), column(end)
+    flag = free_name(table, "is_moved")
+    found = snapshot(distinct_keys(ids, key).where(F.col(key).isNotNull()), "moved")
+    moved = broadcast_if_small(found.withColumn(flag, F.lit(True)), max_broadcast_bytes)
     return (
-        extractions.join(moved, key, "left")
+        table.join(moved, key, "left")
         .withColumns(
             {
-                "delta_start": F.when(F.col("is_moved"), end).otherwise(start),
-                "delta_end": F.when(F.col("is_moved"), end + (end - start)).otherwise(end),
+                start: F.when(F.col(flag), last).otherwise(first),
+                end: F.when(F.col(flag), last + (last - first)).otherwise(last),
             }
         )
-        .select(*[column(name) for name in extractions.columns])
+        .select(*[column(name) for name in table.columns])
     )

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from guidepost.functions import column, free_name
 from guidepost.plans import MAX_BROADCAST_BYTES, broadcast_if_small
 from guidepost.sources import snapshot
 
@@ -18,7 +23,13 @@ from guidepost.sources import snapshot
 STORE = "^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)?"
 
 # Characters that Spark reports as percent escapes in file paths.
-ESCAPED = "% \"#<>[\\]^`{|}"
+ESCAPED = "% \"#<>?[\\]^`{|}"
+
+
+# Characters that would make a path a pattern.
+PATTERN = re.compile(r"([\\\[\]{}*?])")
+
+ASKED_AT_ONCE = 32
 
 
 def _escape(path: Column) -> Column:
@@ -28,17 +39,34 @@ def _escape(path: Column) -> Column:
 
 
 def _owned_directories(paths: DataFrame, root: str | None) -> DataFrame:
-    """Extraction ids and directories, the latter as ``store`` and ``inner`` path."""
+    """Each directory once, as ``store`` and ``inner`` path, with the extractions that own it."""
     full = F.col("directory")
     if root is not None:
         full = F.concat(F.lit(root.rstrip("/") + "/"), F.ltrim(full, F.lit("/")))
     store = F.regexp_extract(full, STORE, 0)
     inner = F.regexp_replace(F.regexp_replace(full, STORE, ""), "/+", "/")
-    return paths.select(
-        "extraction_id",
-        F.regexp_replace(store, "//$", "").alias("store"),
-        F.rtrim(inner, F.lit("/")).alias("inner"),
-    ).distinct()
+    return (
+        paths.select(
+            "extraction_id",
+            F.regexp_replace(store, "//$", "").alias("store"),
+            F.rtrim(inner, F.lit("/")).alias("inner"),
+        )
+        .groupBy("store", "inner")
+        .agg(F.collect_set("extraction_id").alias("owners"))
+    )
+
+
+def _exist(spark: SparkSession, directories: list[str]) -> list[bool]:
+    """Which directories are there; asked in parallel, as stores take their time to answer."""
+    jvm = spark.sparkContext._jvm
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def ask(directory: str) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(directory)
+        return path.getFileSystem(settings).exists(path)
+
+    with ThreadPoolExecutor(ASKED_AT_ONCE) as pool:
+        return list(pool.map(ask, directories))
 
 
 def read_resolved(
@@ -48,67 +76,115 @@ def read_resolved(
     schema: T.StructType | str | None = None,
     options: Mapping[str, str] | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    missing: str = "error",
+    format: str = "parquet",
 ) -> DataFrame:
-    """Rows of the parquet files below the directories in ``paths``, each with the
-    ``extraction_id`` that asked for its directory; a row appears once for each of them.
+    """Rows of the files below the directories in ``paths``, each with the ``extraction_id`` that
+    asked for its directory; a row appears once for each of them.
+
+    Directories are absolute, or relative to ``root``; their names are taken as they are, without
+    patterns. The distinct names come to the driver, as Spark lists files there; data rows and the
+    extractions of a directory do not. A directory that is not there is an error, or
+    left out with ``missing="skip"``. A null directory is an error.
 
-    Directories are absolute, or relative to ``root``. Their distinct names come to the driver,
-    as Spark lists files there; data rows and the pairs of directory and extraction do not.
-    Without ``schema`` the files define it, and a column that only some directories have is
-    null in the others. ``options`` go to the reader, e.g. ``basePath`` to keep partition
-    columns.
+    Without ``schema`` the result has the columns of all directories, whichever comes first;
+    a column that only some have is null in the others, and types that differ are widened.
+    ``options`` go to the reader, e.g. ``basePath`` to keep partition columns. ``format`` names the
+    files' format; a directory with a transaction log of Delta Lake is refused as parquet,
+    since its files also hold rows that were removed.
 
-    Rows find their extraction by the prefix of their file's path. One read takes the
+    Rows find their extractions by the prefix of their file's path. One read takes the
     directories of one store and depth, so the prefix is cut at a fixed place, however deep
     below the directory the file lies.
     """
+    if missing not in ("error", "skip"):
+        raise ValueError(f"missing must be 'error' or 'skip', not {missing!r}")
     owned = snapshot(_owned_directories(paths, root), "directories")
     groups: dict[tuple[str, int], list[str]] = {}
-    for row in owned.select("store", "inner").distinct().toLocalIterator():
+    for row in owned.select("store", "inner").toLocalIterator():
         store, inner = row["store"], row["inner"]
+        if inner is None:
+            raise ValueError("a resolved directory is null")
         if not inner.startswith("/"):
             raise ValueError(f"directory {store + inner!r} is relative: pass root")
         groups.setdefault((store, inner.count("/")), []).append(store + inner)
-    if not groups:
+    everything = [name for names in groups.values() for name in names]
+    there = dict(zip(everything, _exist(spark, everything)))
+    absent = sorted(name for name in everything if not there[name])
+    if absent and missing == "error":
+        raise FileNotFoundError(f"{len(absent)} directories are not there, e.g. {absent[:5]}")
+    found = [name for name in everything if there[name]]
+    if not found:
         raise LookupError("no directory was resolved, so there is nothing to read")
+    if format == "parquet":
+        logged = _exist(spark, [f"{name}/_delta_log" for name in found])
+        if any(logged):
+            example = found[logged.index(True)]
+            raise ValueError(f"{example!r} is a Delta table: pass format='delta'")
 
-    reader = spark.read.options(**(options or {}))
+    reader = spark.read.format(format).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    reads = [
-        _with_extraction(
-            reader.parquet(*directories),
-            owned.where(
-                (F.col("store") == F.lit(store))
-                & (F.regexp_count("inner", F.lit("/")) == depth)
-            ),
-            depth,
-            max_broadcast_bytes,
+    reads = []
+    for (store, depth), names in groups.items():
+        known = [name for name in names if there[name]]
+        own = owned.where(
+            (F.col("store") == F.lit(store)) & (F.regexp_count("inner", F.lit("/")) == depth)
         )
-        for (store, depth), directories in groups.items()
+        for data in _read_all(reader, known, schema is None):
+            reads.append(_with_extraction(data, own, depth, max_broadcast_bytes))
+    return _united(reads)
+
+
+def _read_all(reader: DataFrameReader, directories: list[str], infer: bool) -> list[DataFrame]:
+    """The directories in one read whose columns a Spark job merges from all files; if types
+    differ, a read for each set of columns and types."""
+    names = [PATTERN.sub(r"\\\1", name) for name in directories]
+    if not names:
+        return []
+    if not infer:
+        return [reader.load(names)]
+    try:
+        return [reader.option("mergeSchema", "true").load(names)]
+    except (PySparkException, Py4JJavaError) as error:
+        if "MERGE" not in str(error).upper():
+            raise
+    alike: dict[str, list[str]] = {}
+    for name in names:
+        kinds = reader.option("mergeSchema", "true").load(name).schema
+        alike.setdefault(kinds.json(), []).append(name)
+    return [
+        reader.schema(T.StructType.fromJson(json.loads(kinds))).load(own)
+        for kinds, own in alike.items()
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reads)
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    """All rows under all columns; where types differ, Spark's union finds the wider one."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _with_extraction(
     data: DataFrame, owned: DataFrame, depth: int, max_bytes: int
 ) -> DataFrame:
+    if "extraction_id" in {name.lower() for name in data.columns}:
+        raise ValueError("the files have a column extraction_id of their own")
     file_path = F.col("_metadata.file_path")
     # Spark spells out the store of a path that names none or part of it. One path tells how.
     example = data.select(file_path.alias("path")).first()
     store = re.match(STORE, example["path"]).group() if example else ""
+    directory, ids = free_name(data, "directory"), free_name(data, "owners")
     owners = owned.select(
-        "extraction_id",
-        F.concat(F.lit(store), _escape(F.col("inner"))).alias("_directory"),
-        F.lit(True).alias("_is_owned"),
+        F.concat(F.lit(store), _escape(F.col("inner"))).alias(directory),
+        F.col("owners").alias(ids),
     )
     prefix = F.substring_index(file_path, "/", store.count("/") + depth + 1)
-    matched = data.withColumn("_directory", prefix).join(
-        broadcast_if_small(owners, max_bytes), "_directory", "left"
+    matched = data.withColumn(directory, prefix).join(
+        broadcast_if_small(owners, max_bytes), directory, "left"
     )
     # Every file lies below a directory that was asked for; a row without one must not get lost.
-    unowned = F.raise_error(F.concat(F.lit("no extraction owns "), F.col("_directory")))
-    return matched.withColumn(
-        "extraction_id",
-        F.when(F.col("_is_owned"), F.col("extraction_id")).otherwise(unowned),
-    ).drop("_directory", "_is_owned")
+    unowned = F.raise_error(F.concat(F.lit("no extraction owns "), column(directory)))
+    each = F.explode(F.when(column(ids).isNotNull(), column(ids)).otherwise(unowned))
+    return matched.select(
+        *[column(name) for name in data.columns], each.alias("extraction_id")
+    )

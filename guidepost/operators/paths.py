@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from guidepost.functions import flag_is_set, partition_time
 from guidepost.operators.lookups import is_target
@@ -56,8 +57,9 @@ def resolve_paths(
 
     The windows of a target are few and the index is long, so the windows are computed and
     measured first (small jobs over the control tables); the index is read when the result is.
-    Small windows are broadcast, and only index entries that match are shuffled.
-    Otherwise both sides are shuffled.
+    Small windows are broadcast, and only what matches is shuffled, once, to merge repeats.
+    Otherwise both sides are shuffled, the index once for each bucket width in use (one for most
+    targets, six at most). In window mode the years of all windows bound the scan of the index.
     """
     if mode not in ("window", "flag"):
         raise ValueError(f"mode must be 'window' or 'flag', not {mode!r}")
@@ -72,11 +74,13 @@ def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> Data
     measured = sized.agg(
         byte_total(sized, times=steps).alias("bytes"),
         F.collect_set("bucket_width").alias("widths"),
+        F.year(F.min("delta_start")).alias("first_year"),
+        F.year(F.max("delta_end")).alias("last_year"),
     ).first()
 
     time = partition_time(index, like=windows.schema["delta_start"].dataType)
     entries = bucket_times(
-        index.select(*INDEX_KEYS, "directory", time.alias("partition_time")),
+        _years(index, measured["first_year"], measured["last_year"]).select(*INDEX_KEYS, "directory", time.alias("partition_time")),
         "partition_time",
         measured["widths"] or [1],
     )
@@ -87,6 +91,13 @@ def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> Data
     )
 
 
+def _years(index: DataFrame, first: int | None, last: int | None) -> DataFrame:
+    """The index without years that no window touches; numeric years are pruned by the scan."""
+    if first is None or not isinstance(index.schema["year"].dataType, T.NumericType):
+        return index
+    return index.where(F.col("year").between(first, last))
+
+
 def _match_flags(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
     entries = index.where(flag_is_set(index, "delta_flag")).select(*INDEX_KEYS, "directory")
     small = is_small(windows, max_bytes)
@@ -96,9 +107,8 @@ def _match_flags(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFr
 def _join_entries(
     entries: DataFrame, windows: DataFrame, keys: list[str], small: bool
 ) -> DataFrame:
-    """Entries with the windows of equal keys; repeated entries are merged before the join."""
+    """Entries with the windows of equal keys. A shuffle join merges repeated entries first; after
+    a broadcast join only matching ones are left, and the result merges those."""
     if small:
-        used = F.broadcast(windows.select(keys).distinct())
-        entries = entries.join(used, keys, "left_semi")
-        windows = F.broadcast(windows)
+        return entries.join(F.broadcast(windows), keys)
     return entries.distinct().join(windows, keys)

@@ -2,9 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterator
-from functools import reduce
 from itertools import islice
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,25 +59,33 @@ def evaluate_quality(
     """Every rule valid at ``as_of`` with the rows of ``df`` it checked and that failed it.
 
     A formula is a Spark SQL condition on the columns of ``df``; a row passes if it is true, so
-    null fails. How rules are applied is this library's own definition.
-
-    All formulas are counted in one aggregate over ``df``: a single scan whose shuffle holds a
-    row of counters per task. Formulas are query text, so the distinct ones have to
-    come to the driver; past ``formulas_per_scan`` a further scan is added so that no
-    generated aggregate grows without limit. Rules stay on the cluster.
+    null fails. Users edit formulas, so one that cannot be used does not spoil the others: its
+    ``error`` says why (it does not resolve, is no condition, holds an aggregate, or fails on a row, as
+    a division by zero does under ANSI mode) and its counts are null. A null formula has
+    neither counts nor error. How rules are applied is this library's own definition.
+
+    The formulas are counted here and now, up to ``formulas_per_scan`` in one aggregate over
+    ``df``: a scan whose shuffle holds a row of counters per task. More formulas, and those of a
+    scan that failed, take further scans, so pass a stored table if ``df`` may change meanwhile.
+    Formulas are query text, so the distinct ones come to the driver, a batch at a time, and their
+    counts go back as a table; rules stay on the cluster.
     """
     valid = valid_rules(rules, as_of)
     formulas = valid.select("formula").where(F.col("formula").isNotNull()).distinct()
-    texts = (row["formula"] for row in formulas.toLocalIterator())
-    scans = [_count_failures(df, batch) for batch in _batches(texts, formulas_per_scan)]
-    if not scans:
-        empty = T.LongType()
-        return valid.withColumns(
-            {"rows_checked": F.lit(None).cast(empty), "rows_failed": F.lit(None).cast(empty)}
-        )
-    counted = reduce(DataFrame.union, scans)
-    return valid.join(counted, "formula", "left").select(
-        *valid.columns, "rows_checked", "rows_failed"
+    counted: list[tuple[str, int | None, int | None, str | None]] = []
+    for batch in _batches((row["formula"] for row in formulas.toLocalIterator()), formulas_per_scan):
+        usable = []
+        for text in batch:
+            error = _analysis_error(df, text)
+            if error is None:
+                usable.append(text)
+            else:
+                counted.append((text, None, None, error))
+        counted += _counts(df, usable)
+    kinds = "formula string, rows_checked bigint, rows_failed bigint, error string"
+    found = df.sparkSession.createDataFrame(counted, kinds)
+    return valid.join(found, "formula", "left").select(
+        *valid.columns, "rows_checked", "rows_failed", "error"
     )
 
 
@@ -86,18 +94,42 @@ def _batches(items: Iterator[str], size: int) -> Iterator[list[str]]:
         yield batch
 
 
-def _count_failures(df: DataFrame, formulas: list[str]) -> DataFrame:
+def _error_name(error: PySparkException) -> str:
+    return error.getCondition() or type(error).__name__
+
+
+def _analysis_error(df: DataFrame, formula: str) -> str | None:
+    """Why a formula is no condition on the rows of ``df``, if it is none."""
+    try:
+        df.where(F.expr(formula)).schema  # noqa: B018  analysis happens on the way
+    except PySparkException as error:
+        return _error_name(error)
+    return None
+
+
+def _counts(df: DataFrame, formulas: list[str]) -> list[tuple]:
+    """Counts of the formulas in one scan; if one of them fails on a row, each half anew."""
+    if not formulas:
+        return []
+    try:
+        row = _passed(df, formulas).first()
+    except PySparkException as error:
+        if len(formulas) == 1:
+            return [(formulas[0], None, None, _error_name(error))]
+        middle = len(formulas) // 2
+        return _counts(df, formulas[:middle]) + _counts(df, formulas[middle:])
+    rows = row["rows_checked"]
+    return [
+        (text, rows, rows - row[f"passed_{i}"], None) for i, text in enumerate(formulas)
+    ]
+
+
+def _passed(df: DataFrame, formulas: list[str]) -> DataFrame:
     # Passes are counted, as count skips nulls: a formula is evaluated once, in short code.
-    counts = df.agg(
+    return df.agg(
         F.count(F.lit(1)).alias("rows_checked"),
         *[
             F.count(F.when(F.expr(text), F.lit(1))).alias(f"passed_{i}")
             for i, text in enumerate(formulas)
         ],
     )
-    passed = F.array(*[F.col(f"passed_{i}") for i in range(len(formulas))])
-    return counts.select("rows_checked", F.posexplode(passed).alias("i", "passed")).select(
-        F.get(F.lit(formulas), F.col("i")).alias("formula"),
-        "rows_checked",
-        (F.col("rows_checked") - F.col("passed")).alias("rows_failed"),
-    )

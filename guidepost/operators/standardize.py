@@ -4,74 +4,122 @@ tables hold the standards, and say nothing of how they are applied."""
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from guidepost.functions import canonical_text, cast_or_null, column
-from guidepost.plans import MAX_BROADCAST_BYTES, byte_total
+from guidepost.functions import canonical_text, cast_or_null, column, free_name
+from guidepost.plans import MAX_BROADCAST_BYTES, apart, byte_total, is_small
 from guidepost.sources import snapshot
 
-# A mapping becomes the column list of a query, so it has to be of a size Spark can plan.
-MAX_COLUMNS = 10_000
+# A mapped column: its sources in the order of the data, its new name, and its type.
+Mapped = tuple[list[str], str, str]
+
+
+def _spelled_as(spark: SparkSession, name: str) -> str:
+    """``name`` in the form in which the session tells columns apart."""
+    return name if spark.conf.get("spark.sql.caseSensitive") == "true" else name.lower()
 
 
 def _mapped_columns(
-    df: DataFrame, mapping: DataFrame, types: Mapping[str, str] | None
-) -> list[tuple[str, str, str]]:
-    rows = mapping.select("source_name", "dest_name", "data_type").distinct()
-    found = rows.take(MAX_COLUMNS + 1)
-    if len(found) > MAX_COLUMNS:
-        raise ValueError(f"a mapping of over {MAX_COLUMNS} columns cannot become a table")
-
-    positions = {name: i for i, name in enumerate(df.columns)}
-    missing = sorted({r["source_name"] for r in found if r["source_name"] not in positions})
-    if missing:
-        raise ValueError(f"mapped columns are not in the data: {missing}")
-    names = [r["dest_name"] for r in found]
-    repeated = sorted({name for name in names if names.count(name) > 1})
-    if repeated:
-        raise ValueError(f"several mappings for one destination column: {repeated}")
-
-    found.sort(key=lambda r: (positions[r["source_name"]], r["dest_name"]))
+    df: DataFrame, mapping: DataFrame, types: Mapping[str, str] | None, absent: str
+) -> list[Mapped]:
+    if absent not in ("error", "skip"):
+        raise ValueError(f"absent must be 'error' or 'skip', not {absent!r}")
+    spark = df.sparkSession
+    positions = {_spelled_as(spark, name): i for i, name in enumerate(df.columns)}
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    source = F.col("source_name") if exact else F.lower("source_name")
+    rows = mapping.select(
+        "source_name", source.alias("spelling"), "dest_name", "data_type"
+    ).distinct()
+    is_known = F.col("spelling").isin(list(positions))
+    if absent == "error":
+        missing = rows.where(~F.coalesce(is_known, F.lit(False))).select("source_name")
+        names = sorted(str(r["source_name"]) for r in missing.distinct().take(20))
+        if names:
+            raise ValueError(f"mapped columns are not in the data: {names}")
+    by_dest = rows.where(is_known).groupBy("dest_name")
+    unlike = by_dest.agg(F.count_distinct("data_type").alias("n")).where("n > 1")
+    names = sorted(r["dest_name"] for r in unlike.take(20))
+    if names:
+        raise ValueError(f"several types for one destination column: {names}")
+    # A row for each column of the result.
+    found = by_dest.agg(
+        F.collect_set("spelling").alias("sources"), F.first("data_type").alias("data_type")
+    ).collect()
     spelling = types or {}
-    return [
-        (r["source_name"], r["dest_name"], spelling.get(r["data_type"], r["data_type"]))
-        for r in found
-    ]
+    mapped = []
+    for row in found:
+        at = sorted(positions[name] for name in row["sources"])
+        data_type = spelling.get(row["data_type"], row["data_type"])
+        mapped.append((at, [df.columns[i] for i in at], row["dest_name"], data_type))
+    mapped.sort(key=lambda m: (m[0], m[2]))
+    return [m[1:] for m in mapped]
+
+
+def _first_value(df: DataFrame, sources: list[str], data_type: str) -> Column:
+    return F.coalesce(*[cast_or_null(df, source, data_type) for source in sources])
+
+
+def absent_columns(df: DataFrame, mapping: DataFrame) -> DataFrame:
+    """The distinct ``source_name``s of a mapping that ``df`` has no column for."""
+    known = [_spelled_as(df.sparkSession, name) for name in df.columns]
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    source = F.col("source_name") if exact else F.lower("source_name")
+    return mapping.where(~source.isin(known)).select("source_name").distinct()
 
 
 def apply_column_mapping(
-    df: DataFrame, mapping: DataFrame, types: Mapping[str, str] | None = None
+    df: DataFrame,
+    mapping: DataFrame,
+    types: Mapping[str, str] | None = None,
+    absent: str = "error",
 ) -> DataFrame:
     """``df`` with the mapped columns only, renamed and cast, in the order of ``df``.
 
-    A value that does not fit its new type becomes null; ``count_bad_casts`` counts those.
+    A value that does not fit its new type becomes null; ``count_bad_casts`` counts those. Where
+    several sources have one destination, the first of them in ``df`` that is not null counts.
+    A mapping belongs to a target, and a target's extractions may differ in their columns: with
+    ``absent="skip"`` sources that ``df`` lacks are left out (``absent_columns`` reports them),
+    else they are an error. Names match as the session tells columns apart.
+
     ``types`` translates type names of the control tables to Spark's, e.g.
     ``{"datetime": "timestamp"}``. Only the mapping is read here; the data needs no shuffle.
     """
     return df.select(
         *[
-            cast_or_null(df, source, data_type).alias(dest)
-            for source, dest, data_type in _mapped_columns(df, mapping, types)
+            _first_value(df, sources, data_type).alias(dest)
+            for sources, dest, data_type in _mapped_columns(df, mapping, types, absent)
         ]
     )
 
 
 def count_bad_casts(
-    df: DataFrame, mapping: DataFrame, types: Mapping[str, str] | None = None
+    df: DataFrame,
+    mapping: DataFrame,
+    types: Mapping[str, str] | None = None,
+    absent: str = "error",
 ) -> DataFrame:
-    """How many values each mapped column loses to a bad cast, in one scan of ``df``."""
-    mapped = _mapped_columns(df, mapping, types)
+    """How many values each mapped column loses to a bad cast, in one scan of ``df``.
 
-    def is_lost(source: str, data_type: str) -> Column:
-        return column(source).isNotNull() & cast_or_null(df, source, data_type).isNull()
+    A row counts if one of the column's sources has a value there that does not fit.
+    """
+    mapped = _mapped_columns(df, mapping, types, absent)
+
+    def is_lost(sources: list[str], data_type: str) -> Column:
+        lost = [
+            column(source).isNotNull() & cast_or_null(df, source, data_type).isNull()
+            for source in sources
+        ]
+        return reduce(Column.__or__, lost)
 
     counts = df.agg(
         *[
-            F.count_if(is_lost(source, data_type)).alias(f"lost_{i}")
-            for i, (source, _, data_type) in enumerate(mapped)
+            F.count_if(is_lost(sources, data_type)).alias(f"lost_{i}")
+            for i, (sources, _, data_type) in enumerate(mapped)
         ]
     )
     rows = [
@@ -89,14 +137,21 @@ def standardize_values(
     """``df`` with known spellings of a value replaced by the canonical value.
 
     A value matches a target of its column if both are equal without outer blanks and
-    capitals. If several targets match, the smallest is used; values without one stay.
+    capitals. If several targets match, the smallest is used; values without one stay. Column
+    names match as the session tells columns apart.
 
     The targets are read once, into a table with a directory for each column, and measured.
-    A small directory is broadcast, so ``df`` is not shuffled; a larger one makes it
-    a shuffle join, in which adaptive execution splits frequent values.
+    A small directory is broadcast, so ``df`` is not shuffled. Of a larger one, the targets that
+    the distinct values of ``df`` need are looked up first and broadcast if they are small;
+    only beyond that is it a shuffle join, in which adaptive execution splits frequent values.
     """
+    spark = df.sparkSession
+    names = {_spelled_as(spark, name): name for name in df.columns}
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    dest = F.col("dest_name") if exact else F.lower("dest_name")
     standards = (
-        value_targets.where(F.col("dest_name").isin(df.columns))
+        value_targets.select(dest.alias("dest_name"), "target_value")
+        .where(F.col("dest_name").isin(list(names)))
         .groupBy("dest_name", canonical_text(F.col("target_value")).alias("spelling"))
         .agg(F.min("target_value").alias("canonical"))
         .where(F.col("spelling").isNotNull())
@@ -109,20 +164,30 @@ def standardize_values(
         .agg(byte_total(canonical, "spelling", "canonical").alias("bytes"))
         .collect()
     }
-    not_text = [n for n in sizes if not isinstance(df.schema[n].dataType, T.StringType)]
+    kinds = {names[n]: df.schema[names[n]].dataType for n in sizes}
+    not_text = [n for n, kind in kinds.items() if not isinstance(kind, T.StringType)]
     if not_text:
         raise ValueError(f"only text columns have standard values, not {not_text}")
 
     result = df
-    for name in sorted(sizes):
-        lookup = canonical.where(F.col("dest_name") == F.lit(name)).select(
-            F.col("spelling").alias("_spelling"), F.col("canonical").alias("_canonical")
+    known, found = free_name(df, "spelling"), free_name(df, "canonical")
+    for key in sorted(sizes):
+        name = names[key]
+        lookup = canonical.where(F.col("dest_name") == F.lit(key)).select(
+            F.col("spelling").alias(known), F.col("canonical").alias(found)
         )
-        if sizes[name] <= max_broadcast_bytes:
+        small = sizes[key] <= max_broadcast_bytes
+        if not small:
+            # The spellings that the data has may be few where the standards are many.
+            present = df.select(canonical_text(column(name)).alias(known), apart(name)).distinct()
+            used = lookup.join(present.select(known), known, "left_semi").distinct()
+            lookup = snapshot(used, "standards-used")
+            small = is_small(lookup, max_broadcast_bytes)
+        if small:
             lookup = F.broadcast(lookup)
         result = (
-            result.join(lookup, canonical_text(column(name)) == F.col("_spelling"), "left")
-            .withColumn(name, F.coalesce(F.col("_canonical"), column(name)))
-            .drop("_spelling", "_canonical")
+            result.join(lookup, canonical_text(column(name)) == F.col(known), "left")
+            .withColumn(name, F.coalesce(F.col(found), column(name)))
+            .drop(known, found)
         )
     return result

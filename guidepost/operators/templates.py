@@ -3,8 +3,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guidepost.functions import TOKEN_PATTERN, column
+from guidepost.functions import TOKEN_PATTERN, column, free_name
 from guidepost.plans import MAX_BROADCAST_BYTES, apart, broadcast_if_small
+from guidepost.sources import snapshot
 
 
 def render_templates(
@@ -22,44 +23,47 @@ def render_templates(
 
     Templates are not matched against the whole map. The tokens each text holds are
     looked up by equality, once for each distinct set of tokens, so however many rows share
-    a text and however long the map is, a group is never longer than one text.
+    a text and however long the map is, a group is never longer than one text. Names and sets are
+    stored and measured; small ones are broadcast, so the templates are not shuffled.
     """
     pattern = F.lit(TOKEN_PATTERN)
-    found = F.regexp_extract_all(column(template), pattern, 0)
-    tagged = templates.withColumn("_found", found).withColumn(
-        "_tokens", F.sort_array(F.array_distinct("_found"))
-    )
+    found, tokens, names_ = (free_name(templates, n) for n in ("found", "tokens", "names"))
+    tagged = templates.withColumn(
+        found, F.regexp_extract_all(column(template), pattern, 0)
+    ).withColumn(tokens, F.sort_array(F.array_distinct(found)))
 
-    names = (
+    names = snapshot(
         token_map.where(F.col("token").isNotNull())
-        .groupBy(F.col("token").alias("_token"), apart("token"))
-        .agg(F.min("dest_name").alias("_name"))
-        .where(F.col("_name").isNotNull())
-        .select("_token", "_name")
+        .groupBy(F.col("token"), apart("token"))
+        .agg(F.min("dest_name").alias("name"))
+        .where(F.col("name").isNotNull())
+        .select("token", "name"),
+        "token-names",
     )
-    sets = tagged.where(F.size("_tokens") > 0).select("_tokens").distinct()
-    known = (
-        sets.select("_tokens", F.explode("_tokens").alias("_token"))
-        .join(broadcast_if_small(names, max_broadcast_bytes), "_token")
-        .groupBy("_tokens", apart("_tokens"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("_token", "_name"))).alias("_names"))
-        .select("_tokens", "_names")
+    sets = tagged.where(F.size(tokens) > 0).select(F.col(tokens).alias("tokens")).distinct()
+    known = snapshot(
+        sets.select("tokens", F.explode("tokens").alias("token"))
+        .join(broadcast_if_small(names, max_broadcast_bytes), "token")
+        .groupBy("tokens", apart("tokens"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("token", "name"))).alias(names_))
+        .select(F.col("tokens").alias(tokens), names_),
+        "token-sets",
     )
 
     literals = F.split(column(template), TOKEN_PATTERN, -1)
     # One literal more than tokens: zip_with pads the shorter list with null.
     pieces = F.zip_with(
         literals,
-        "_found",
+        found,
         lambda text, token: F.concat(
             text,
-            F.coalesce(F.try_element_at("_names", token), token, F.lit("")),
+            F.coalesce(F.try_element_at(names_, token), token, F.lit("")),
         ),
     )
-    unresolved = F.when(F.col("_names").isNull(), F.col("_tokens")).otherwise(
-        F.array_except("_tokens", F.map_keys("_names"))
+    unresolved = F.when(F.col(names_).isNull(), F.col(tokens)).otherwise(
+        F.array_except(tokens, F.map_keys(names_))
     )
-    return tagged.join(known, "_tokens", "left").select(
+    return tagged.join(broadcast_if_small(known, max_broadcast_bytes), tokens, "left").select(
         *[column(name) for name in templates.columns],
         F.array_join(pieces, "").alias("rendered"),
         unresolved.alias("unresolved"),

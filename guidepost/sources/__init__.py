@@ -7,7 +7,12 @@ from guidepost.sources.catalog import (
     load_catalog,
     to_source_names,
 )
-from guidepost.sources.scratch import new_scratch_path, snapshot
+from guidepost.sources.scratch import (
+    drop_scratch,
+    new_scratch_path,
+    scratch_folder,
+    snapshot,
+)
 from guidepost.sources.tables import (
     JdbcSource,
     ParquetSource,
@@ -24,9 +29,11 @@ __all__ = [
     "JdbcSource",
     "ParquetSource",
     "Split",
+    "drop_scratch",
     "load_catalog",
     "new_scratch_path",
     "read_table",
+    "scratch_folder",
     "snapshot",
     "sql_server_source",
     "to_source_names",

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -9,25 +8,39 @@ from pyspark.sql import DataFrame, SparkSession
 from guidepost.sources.tables import write_table
 
 
-def new_scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path for an intermediate table, in the folder all executors share.
+def scratch_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """The folder of this application's intermediate tables, below one that all executors share.
 
-    That folder is the session's ``spark.checkpoint.dir``. Only a local session may
-    go without it; it gets a temporary folder.
+    That is ``folder`` or else the session's ``spark.checkpoint.dir`` or else its
+    warehouse. It is never a temporary folder of one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="guidepost-")
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for shared in (folder, *(spark.conf.get(k, None) for k in SHARED_FOLDERS)):
+        if shared:
+            return f"{shared.rstrip('/')}/guidepost-{spark.sparkContext.applicationId}"
+    raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+SHARED_FOLDERS = ("spark.checkpoint.dir", "spark.sql.warehouse.dir")
+
+
+def new_scratch_path(spark: SparkSession, purpose: str, folder: str | None = None) -> str:
+    """A fresh path for an intermediate table in ``scratch_folder``."""
+    return f"{scratch_folder(spark, folder)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, folder: str | None = None) -> None:
+    """Delete all intermediate tables of this application. Results that still read them fail
+    afterwards, so write those first."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark, folder))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def snapshot(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` computed once, kept as a table in the shared folder.
 
-    For small results that several jobs read: they must all see the same rows even if a
-    control table changes meanwhile or an executor is lost.
+    For results that several jobs read: they must all see the same rows even if a control
+    table changes meanwhile or an executor is lost.
     """
     path = new_scratch_path(df.sparkSession, purpose)
     write_table(df, path, partition_by)

@@ -4,6 +4,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from guidepost.functions import column
 
 DEFAULT_SCHEMA = "dbo"
 
@@ -14,7 +18,9 @@ class Split:
 
     Either an evenly filled numeric, date or timestamp column, cut into ``partitions`` ranges
     between ``lower`` and ``upper`` (rows outside are still read, by the outer ranges), or
-    ``predicates``: one condition for each partition, for keys whose values bunch up.
+    ``predicates``: one condition for each partition, for keys whose values bunch up. A row
+    belongs to the first condition it meets; one more partition has the rows that meet
+    none, so every row is read exactly once whatever the conditions are.
     """
 
     column: str | None = None
@@ -30,6 +36,11 @@ class Split:
         if by_range and (self.lower is None or self.upper is None):
             raise ValueError(f"the split on {self.column!r} needs lower and upper")
 
+    def conditions(self) -> list[str]:
+        """``predicates`` made complete and free of overlap, as SQL."""
+        cases = " ".join(f"WHEN {text} THEN {i}" for i, text in enumerate(self.predicates, 1))
+        return [f"CASE {cases} ELSE 0 END = {i}" for i in range(len(self.predicates) + 1)]
+
 
 @dataclass(frozen=True)
 class ParquetSource:
@@ -70,7 +81,7 @@ class JdbcSource:
             return spark.read.jdbc(self.url, name, properties=properties)
         if split.predicates:
             return spark.read.jdbc(
-                self.url, name, predicates=list(split.predicates), properties=properties
+                self.url, name, predicates=split.conditions(), properties=properties
             )
         return spark.read.jdbc(
             self.url,
@@ -89,13 +100,16 @@ def sql_server_source(
     """A SQL Server database from ``Server=..;Database=..;User Id=..;Password=..;``."""
     pairs = [part.partition("=") for part in connection.split(";") if "=" in part]
     given = {key.strip().lower(): value for key, _, value in pairs}
+    for key in ("server", "database", "user id"):
+        given[key] = given.get(key, "").strip()
     missing = [k for k in ("server", "database", "user id", "password") if not given.get(k)]
     if missing:
         raise ValueError(f"the connection string lacks {', '.join(missing)}")
+    # URL, port and driver class as the JDBC driver expects them.
     return JdbcSource(
         url=f"jdbc:sqlserver://{given['server']}:1433;databaseName={given['database']}",
         properties={
-            "user": given["user id"].strip(),
+            "user": given["user id"],
             "password": given["password"],
             "driver": "com.microsoft.sqlserver.jdbc.SQLServerDriver",
         },
@@ -126,10 +140,22 @@ def write_table(
 
     With ``partition_by`` the rows of a directory are brought together first, so that tasks do
     not each leave a small file in every directory. The rebalance hint lets adaptive
-    execution cut a directory that holds much of the data into several files.
+    execution cut a directory that holds much of the data into several files. Read such a table
+    with its schema: a reader without one guesses the types of directory values, so that
+    ``01`` becomes 1. An empty text in such a column ends the write, as its directory would be read
+    as null.
     """
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        texts = [
+            name for name in partition_by if isinstance(df.schema[name].dataType, T.StringType)
+        ]
+        refused = {
+            name: F.when(
+                column(name) == "", F.raise_error(F.lit(f"an empty {name} cannot be a directory"))
+            ).otherwise(column(name))
+            for name in texts
+        }
+        df = df.withColumns(refused).hint("rebalance", *partition_by)
     (
         df.write.mode(mode)
         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from guidepost import operators as ops
 from guidepost.functions import cast_or_null
+from guidepost.operators import quality
 from tests.helpers import SMALL_LIMITS, final_plan_of, plan_of, rows, settings
 
 MAPPING = "source_name string, dest_name string, data_type string"
@@ -65,8 +66,51 @@ def test_column_mapping_errors(spark):
 
     with pytest.raises(ValueError, match="not in the data.*'c'"):
         apply(("a", "x", "int"), ("c", "y", "int"))
-    with pytest.raises(ValueError, match="several.*'x'"):
-        apply(("a", "x", "int"), ("b", "x", "int"))
+    with pytest.raises(ValueError, match="several types.*'x'"):
+        apply(("a", "x", "int"), ("b", "x", "string"))
+    with pytest.raises(ValueError, match="absent"):
+        ops.apply_column_mapping(data, spark.createDataFrame([], MAPPING), absent="ignore")
+
+
+def test_several_sources_absent_sources_and_letter_case(spark):
+    data = spark.createDataFrame([(None, "1", "x"), ("7", "2", "y"), ("no", "3", "z")],
+                                 "b string, A string, c string")
+    mapping = spark.createDataFrame(
+        [("a", "n", "int"), ("B", "n", "int"), ("C", "c", "string"), ("gone", "n", "int"),
+         ("lost", "m", "int")],
+        MAPPING,
+    )
+    found = ops.apply_column_mapping(data, mapping, absent="skip")
+    assert found.columns == ["n", "c"]
+    assert rows(found) == Counter([(1, "x"), (7, "y"), (3, "z")])
+    assert rows(ops.count_bad_casts(data, mapping, absent="skip")) == Counter([("n", 1), ("c", 0)])
+    assert rows(ops.absent_columns(data, mapping)) == Counter([("gone",), ("lost",)])
+    with pytest.raises(ValueError, match="not in the data.*'gone', 'lost'"):
+        ops.apply_column_mapping(data, mapping)
+    with settings(spark, spark__sql__caseSensitive="true"):
+        exact = ops.apply_column_mapping(data, mapping.where("dest_name = 'n'"), absent="skip")
+        assert exact.columns == []
+
+
+def test_a_mapping_may_have_many_columns(spark):
+    data = spark.range(2).selectExpr("id", *[f"id + {i} AS c{i}" for i in range(300)])
+    mapping = spark.createDataFrame([(f"c{i}", f"d{i}", "int") for i in range(300)], MAPPING)
+    assert ops.apply_column_mapping(data, mapping).columns == [f"d{i}" for i in range(300)]
+
+
+def test_values_match_whatever_the_case_of_the_column_and_helper_names(spark):
+    data = spark.createDataFrame([(" red ", "s", "c")], "Colour string, spelling string, canonical string")
+    targets = spark.createDataFrame([("COLOUR", "Red"), ("spelling", "S")], VALUES)
+    assert rows(ops.standardize_values(data, targets)) == Counter([("Red", "S", "c")])
+
+
+def test_standards_that_are_used_are_broadcast_if_few(spark):
+    data = spark.range(3000).selectExpr("id", "concat('v', id % 3) as v")
+    many = spark.range(50_000).selectExpr("'v' as dest_name", "concat('V', id) as target_value")
+    with settings(spark, **SMALL_LIMITS):
+        found = ops.standardize_values(data, many, max_broadcast_bytes=2000)
+        assert "SortMergeJoin" not in plan_of(found)
+    assert rows(found.select("v").distinct()) == Counter([("V0",), ("V1",), ("V2",)])
 
 
 def test_mapping_needs_no_shuffle_and_reads_only_its_columns(spark):
@@ -185,7 +229,10 @@ def test_hot_templates_and_tokens_are_split(spark):
     )
     with settings(spark, **SMALL_LIMITS):
         rendered = ops.render_templates(templates, tokens, max_broadcast_bytes=0)
-        assert final_plan_of(rendered).count("SortMergeJoin(skew=true)") == 2
+        assert final_plan_of(rendered).count("SortMergeJoin(skew=true)") == 1
+        few = ops.render_templates(templates, tokens)
+        assert "SortMergeJoin" not in plan_of(few) and "Exchange hash" not in plan_of(few)
+        assert rows(few.select("id", "rendered")) == rows(rendered.select("id", "rendered"))
     expected = templates.selectExpr(
         "id", "if(id % 3 = 0, 'c1', concat('c0 c', id)) as rendered"
     )
@@ -235,14 +282,26 @@ def test_quality_of_no_rows_and_no_rules(spark):
     assert none.columns == found.columns and none.count() == 0
 
 
-def test_quality_scans_the_data_once(spark):
+def test_quality_counts_many_formulas_in_one_scan(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    many = rules(spark, [(f"l_quantity > {i}", None, None) for i in range(60)])
-    plan = plan_of(ops.evaluate_quality(lines, many, "2024-01-01"), "simple")
-    assert plan.count("FileScan parquet") == 1
-    assert "ReadSchema: struct<l_quantity:double>" in plan_of(
-        ops.evaluate_quality(lines, many, "2024-01-01")
-    )
+    formulas = [f"l_quantity > {i}" for i in range(60)]
+    plan = plan_of(quality._passed(lines, formulas))
+    assert plan.count("Scan parquet") <= 2  # the list of nodes and its details
+    assert "ReadSchema: struct<l_quantity:double>" in plan
+
+
+def test_a_bad_formula_does_not_spoil_the_others(spark):
+    data = spark.createDataFrame([(1, 0), (5, 2), (None, 1)], "a int, z int")
+    formulas = ["a > 2", "a / z > 1", "nope > 1", "a +", "a", "max(a) > 1", "z >= 0", None]
+    found = ops.evaluate_quality(data, rules(spark, [(f, None, None) for f in formulas]), "2024-01-01")
+    counts = {r["formula"]: (r["rows_checked"], r["rows_failed"]) for r in found.collect()}
+    assert counts["a > 2"] == (3, 2) and counts["z >= 0"] == (3, 0)
+    errors = {r["formula"]: r["error"] for r in found.collect()}
+    assert [f for f in formulas if errors[f] is None] == ["a > 2", "z >= 0", None]
+    assert errors["a / z > 1"] == "DIVIDE_BY_ZERO" and "UNRESOLVED_COLUMN" in errors["nope > 1"]
+    with settings(spark, spark__sql__ansi__enabled="false"):
+        lenient = ops.evaluate_quality(data, rules(spark, [("a / z > 1", None, None)]), "2024-01-01")
+        assert rows(lenient.select("rows_checked", "rows_failed", "error")) == Counter([(3, 2, None)])
 
 
 def test_quality_criteria_types(spark):
@@ -294,6 +353,8 @@ def test_hot_target_is_split_when_deltas_move(spark):
     )
     ids = spark.range(5_000).selectExpr("id as target_id")
     with settings(spark, **SMALL_LIMITS):
-        moved = ops.advance_deltas(windows, ids, "target_id")
+        plan = plan_of(ops.advance_deltas(windows, ids, "target_id"))
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        moved = ops.advance_deltas(windows, ids, "target_id", max_broadcast_bytes=0)
         assert "SortMergeJoin(skew=true)" in final_plan_of(moved)
         assert moved.where("delta_start = timestamp_ntz'2024-02-01 00:00:00'").count() == 60_000

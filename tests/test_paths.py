@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from guidepost import operators as ops
 from tests.helpers import SMALL_LIMITS, final_plan_of, plan_of, rows, settings
@@ -237,16 +238,33 @@ def big_inputs(spark):
     return targets, extractions, index
 
 
-def test_small_windows_are_broadcast_and_the_index_is_filtered_before_its_shuffle(spark):
+@pytest.mark.parametrize("mode", ["window", "flag"])
+def test_small_windows_are_broadcast_and_one_exchange_merges_repeats(spark, tmp_path, mode):
     targets, extractions, index = big_inputs(spark)
+    index.write.parquet(f"{tmp_path}/index")
+    stored = spark.read.parquet(f"{tmp_path}/index")
     few = targets.where("target_id = 11")
     with settings(spark, **SMALL_LIMITS):
-        plan = plan_of(ops.resolve_paths(few, extractions, index, mode="window"), "simple")
+        plan = plan_of(ops.resolve_paths(few, extractions, stored, mode=mode), "simple")
     assert "SortMergeJoin" not in plan
-    assert "LeftSemi" in plan
+    # The windows make theirs distinct below the broadcast; the index has a single exchange.
+    assert plan.split("BroadcastExchange")[0].count("Exchange hashpartitioning") == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_years_of_the_windows_bound_the_scan_of_the_index(spark, tmp_path):
+    targets, extractions, index = big_inputs(spark)
+    index.withColumn("year", F.expr("if(extraction_name = 'n', year, 1999)")).write.parquet(
+        f"{tmp_path}/index"
+    )
+    stored = spark.read.parquet(f"{tmp_path}/index")
+    found = ops.resolve_paths(targets, extractions, stored, "a", "x", "window")
+    plan = plan_of(found)
+    assert "GreaterThanOrEqual(year,2024)" in plan and "LessThanOrEqual(year,2024)" in plan
+    expected = ops.resolve_paths(targets, extractions, index, "a", "x", "window")
+    assert found.count() == expected.count() > 0
+
+
 def test_hot_keys_are_split_when_nothing_can_be_broadcast(spark):
     targets, extractions, index = big_inputs(spark)
     with settings(spark, **SMALL_LIMITS):

@@ -16,11 +16,12 @@ from guidepost.plans import (
 from guidepost.plans.ranges import WIDTHS
 from tests.helpers import plan_of, settings
 from workload import roles
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python_worker(spark, name):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = plan_of(queries()[name](spark, SF_DIR), "simple")

@@ -7,7 +7,7 @@ from workload.queries import TABLES
 _PATHS = """
 WITH wanted AS (
     SELECT c_custkey AS target_id FROM customer
-    WHERE c_nationkey < 20 AND c_mktsegment = 'BUILDING'
+    WHERE c_mktsegment = 'BUILDING'
 ), windows AS (
     SELECT o_orderkey AS extraction_id,
            o_custkey AS target_id,
@@ -40,7 +40,9 @@ WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'
 _RULES = """
 SELECT n_nationkey AS id,
        n_name AS criterion,
-       CASE WHEN n_nationkey % 8 < 4
+       CASE WHEN n_nationkey % 8 = 2 THEN 'no_such_column > 1'
+            WHEN n_nationkey % 8 = 3 THEN 'l_quantity / (l_linenumber - 1) > 0'
+            WHEN n_nationkey % 8 < 4
             THEN 'l_quantity BETWEEN 1 AND ' || ((n_nationkey % 8 + 1) * 10)
             WHEN n_nationkey % 8 < 6 THEN 'l_discount <= 0.0' || (n_nationkey % 8)
             WHEN n_nationkey % 8 = 6 THEN 'l_returnflag IS NOT NULL'
@@ -147,7 +149,11 @@ WITH rules AS ({_RULES}), failures AS (
     FROM lineitem CROSS JOIN (SELECT unnest(range(8)) AS kind)
     GROUP BY kind
 )
-SELECT CAST(id AS VARCHAR) AS rule_number, criterion, formula, rows_checked, rows_failed
+SELECT CAST(id AS VARCHAR) AS rule_number, criterion, formula,
+       CASE WHEN kind NOT IN (2, 3) THEN rows_checked END AS rows_checked,
+       CASE WHEN kind NOT IN (2, 3) THEN rows_failed END AS rows_failed,
+       CASE kind WHEN 2 THEN 'UNRESOLVED_COLUMN.WITH_SUGGESTION'
+                 WHEN 3 THEN 'DIVIDE_BY_ZERO' END AS error
 FROM rules JOIN failures ON kind = id % 8
 """,
     "apply_column_mapping": """
@@ -156,6 +162,12 @@ SELECT o_orderkey AS order_id,
        TRY_CAST(o_orderpriority AS INTEGER) AS priority,
        o_orderstatus AS status
 FROM orders
+""",
+    "apply_resolved_mapping": """
+SELECT o_orderkey AS order_id,
+       TRY_CAST(o_totalprice AS DECIMAL(18, 2)) AS price,
+       coalesce(o_orderstatus, o_orderpriority) AS status
+FROM orders
 """,
     "count_bad_casts": """
 SELECT 'order_id' AS dest_name, count(*) FILTER (
@@ -219,13 +231,24 @@ LEFT JOIN tokens b ON b.token = token_2
         moved="l_orderkey * 10 + l_linenumber IN"
         " (SELECT l_orderkey * 10 + l_linenumber FROM lineitem WHERE l_returnflag = 'R')"
     ),
+    "advance_target_deltas": """
+SELECT o_orderkey AS target_id, o_orderpriority AS theme,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey % 11
+            ELSE o_orderkey % 7 END AS delta_value_start,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 2 * (o_orderkey % 11) - o_orderkey % 7
+            ELSE o_orderkey % 11 END AS delta_value_end
+FROM orders
+""",
     "catalog_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
     ),
-    "table_round_trip": "SELECT * FROM orders",
+    "table_round_trip": """
+SELECT *, lpad(CAST(o_custkey % 12 AS VARCHAR), 2, '0') AS part FROM orders
+""",
     "read_resolved": """
 SELECT CAST(n_nationkey AS INTEGER) AS extraction_id,
-       event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day
+       event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
+       CASE WHEN event_type = 'purchase' THEN event_id * 10 END AS amount
 FROM events
 JOIN nation
   ON event_type = ['click', 'error', 'purchase', 'signup', 'view'][n_nationkey % 5 + 1]

@@ -131,7 +131,7 @@ def evaluate_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         roles.table(spark, sf_dir, "lineitem"),
         roles.nation_rules(spark, sf_dir),
         as_of="2024-01-15",
-    ).select("rule_number", "criterion", "formula", "rows_checked", "rows_failed")
+    ).select("rule_number", "criterion", "formula", "rows_checked", "rows_failed", "error")
 
 
 def _order_mapping(spark: SparkSession) -> DataFrame:
@@ -152,6 +152,20 @@ def apply_column_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def apply_resolved_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target's mapping, resolved and applied: one source is spelled in capitals, one is absent,
+    and two share a destination."""
+    mapping = ops.column_mapping(
+        roles.nation_source_columns(spark, sf_dir),
+        roles.region_targets(spark, sf_dir),
+        roles.nation_typed_columns(spark, sf_dir),
+        "usage",
+        "ASIA",
+    )
+    orders = roles.table(spark, sf_dir, "orders")
+    return ops.apply_column_mapping(orders, mapping, {"text": "string"}, absent="skip")
+
+
 def count_bad_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.count_bad_casts(roles.table(spark, sf_dir, "orders"), _order_mapping(spark))
 
@@ -196,6 +210,17 @@ def advance_deltas_by_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.advance_deltas(extractions, ids)
 
 
+def advance_target_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delta values that targets have of their own."""
+    targets = roles.order_targets(spark, sf_dir).select(
+        "target_id", "theme", "delta_value_start", "delta_value_end"
+    )
+    moved = targets.where(F.col("theme") == THEME).select("target_id")
+    return ops.advance_deltas(
+        targets, moved, "target_id", start="delta_value_start", end="delta_value_end"
+    )
+
+
 def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every table: one shuffle of a partial count for each table and task."""
     catalog = load_catalog(
@@ -220,21 +245,27 @@ def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as a table of directories, one for each status, and read again."""
+    """Orders written as a table of directories with names such as 01, and read again."""
+    part = F.lpad((F.col("o_custkey") % 12).cast("string"), 2, "0")
+    orders = roles.table(spark, sf_dir, "orders").withColumn("part", part)
     path = new_scratch_path(spark, "orders")
-    write_table(roles.table(spark, sf_dir, "orders"), path, partition_by=["o_orderstatus"])
-    return spark.read.parquet(path)
+    write_table(orders, path, partition_by=["part"])
+    return spark.read.schema(orders.schema).parquet(path)
 
 
 def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written as a lake, resolved through its index, and read back by extraction.
 
-    The nations are extractions: each reads one event type over three days.
+    The nations are extractions: each reads one event type over three days. The directories of one
+    type, which is not the first by name, have a column that the others lack.
     """
     lake = new_scratch_path(spark, "lake")
     events = roles.table(spark, sf_dir, "events")
     daily = events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    write_table(daily, lake, partition_by=["event_type", "day"])
+    paid = F.col("event_type") == "purchase"
+    amounts = daily.where(paid).withColumn("amount", F.col("event_id") * 10)
+    write_table(daily.where(~paid), lake, partition_by=["event_type", "day"])
+    write_table(amounts, lake, partition_by=["event_type", "day"], mode="append")
 
     index = (
         daily.select("event_type", "day")
@@ -265,11 +296,7 @@ def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("delta_start"),
         (start + roles.days(2)).alias("delta_end"),
     )
-    targets = roles.table(spark, sf_dir, "region").select(
-        F.col("r_regionkey").alias("target_id"),
-        F.lit("usage").alias("theme"),
-        F.col("r_name").alias("target_name"),
-    )
+    targets = roles.region_targets(spark, sf_dir)
     paths = ops.resolve_paths(targets, extractions, index, theme="usage", mode="window")
     found = ops.read_resolved(spark, paths, root=lake, options={"basePath": lake})
     return found.select(
@@ -278,6 +305,7 @@ def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         F.date_format("day", "yyyy-MM-dd").alias("day"),
+        "amount",
     )
 
 
@@ -297,11 +325,13 @@ QUERIES = {
         quality_criteria,
         evaluate_quality,
         apply_column_mapping,
+        apply_resolved_mapping,
         count_bad_casts,
         standardize_values,
         render_templates,
         advance_deltas,
         advance_deltas_by_extraction,
+        advance_target_deltas,
         catalog_row_counts,
         table_round_trip,
         read_resolved,

@@ -54,15 +54,11 @@ def line_extractions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of the first 20 nations are targets: the market segment is the theme."""
-    return (
-        table(spark, sf_dir, "customer")
-        .where(F.col("c_nationkey") < 20)
-        .select(
-            F.col("c_custkey").alias("target_id"),
-            F.col("c_mktsegment").alias("theme"),
-            F.col("c_name").alias("target_name"),
-        )
+    """Every customer is a target: the market segment is the theme."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("target_id"),
+        F.col("c_mktsegment").alias("theme"),
+        F.col("c_name").alias("target_name"),
     )
 
 
@@ -196,13 +192,15 @@ def order_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every nation is a rule for line items. Rule n is in force from day n of 2024 for ten
-    days; formulas recur every eight rules."""
+    days; formulas recur every eight rules. One names no column, one divides by zero."""
     key = F.col("n_nationkey")
     kind = key % 8
     start = days_from("2024-01-01", key)
     return table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("criterion"),
-        F.when(kind < 4, F.concat(F.lit("l_quantity BETWEEN 1 AND "), ((kind + 1) * 10).cast("string")))
+        F.when(kind == 2, F.lit("no_such_column > 1"))
+        .when(kind == 3, F.lit("l_quantity / (l_linenumber - 1) > 0"))
+        .when(kind < 4, F.concat(F.lit("l_quantity BETWEEN 1 AND "), ((kind + 1) * 10).cast("string")))
         .when(kind < 6, F.concat(F.lit("l_discount <= 0.0"), kind.cast("string")))
         .when(kind == 6, F.lit("l_returnflag IS NOT NULL"))
         .otherwise(F.lit("nullif(l_linestatus, 'F') = 'O'"))
@@ -251,3 +249,36 @@ def nation_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(">>"),
         ).alias("token"),
     )
+
+
+def nation_source_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation is a source column of its region: a column of orders, or one they lack."""
+    key = F.col("n_nationkey")
+    names = ["O_ORDERKEY", "o_totalprice", "o_orderpriority", "o_orderstatus", "o_comment"]
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_regionkey").alias("target_id"),
+        key.alias("dest_column_id"),
+        F.element_at(F.array(*map(F.lit, names)), F.floor(key / 5).cast("int") + 1).alias(
+            "source_name"
+        ),
+    )
+
+
+def nation_typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation is a destination column; priority and status go to one of them."""
+    group = F.floor(F.col("n_nationkey") / 5).cast("int")
+    names = ["order_id", "price", "status", "status", "comment"]
+    types = ["bigint", "decimal(18,2)", "text", "text", "text"]
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("dest_column_id"),
+        F.element_at(F.array(*map(F.lit, names)), group + 1).alias("dest_name"),
+        F.element_at(F.array(*map(F.lit, types)), group + 1).alias("data_type"),
+    )
+
+
+def region_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("target_id"),
+        F.lit("usage").alias("theme"),
+        F.col("r_name").alias("target_name"),
+    )
