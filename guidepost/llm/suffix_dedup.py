@@ -5,12 +5,16 @@
    cannot be part of a repeated string. Batches get back the names that occur again.
 3. Suffixes that have such a place ahead of them are merged with all others they could equal:
    they are cut into pieces by their least seed and dealt out by it, a piece once for a batch.
-4. Each group sorts its suffixes and compares neighbours on their first 400 bytes.
+4. Each group sorts its suffixes and compares neighbours on their first 400 bytes. Suffixes of a
+   seed that too many share (the ends of a passage that stands in many texts) are dealt out one by
+   one instead, by the name of their 400 bytes, once for a batch.
 5. Batches get back the repeated strings and cut them out.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,18 +32,21 @@ from guidepost.llm.batches import (
     text_batches,
     unpacked,
 )
+from guidepost.llm.frames import Shared
 from guidepost.llm.suffixes import (
     MATCH,
     pieces,
     repeated_windows,
     sampled,
     tuple_names,
+    window_names,
     windows_near,
 )
 from guidepost.sources.scratch import snapshot
 
 NAMES_PER_GROUP = 1 << 18
 PIECES_BYTES_PER_GROUP = 4 * 1024 * 1024
+HEAVY_BYTES = 32 * 1024 * 1024  # of a seed's pieces, beyond which they are dealt out one by one
 NAME_BITS = 32  # bits of a name besides those of its group's number
 
 def _names(sizes: np.ndarray, buf: np.ndarray, group_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -150,23 +157,74 @@ def _marked(batches: DataFrame, recurring: DataFrame, group_bits: int) -> DataFr
     return map_rows(joined, kinds, mark)
 
 
-def _cut(row: dict) -> tuple[np.ndarray, list[tuple[int, int, int]], np.ndarray]:
-    """A batch's joined texts, its pieces (first start, last start, key), and for each piece how
-    many of the batch have the same bytes (0 for all but the first of them)."""
+@dataclass
+class Cut:
+    """A batch's joined texts and its pieces: first and last start, key, for each piece the
+    first of the batch with the same bytes, and how often these occur."""
+
+    buf: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    key: np.ndarray
+    leader: np.ndarray
+    times: np.ndarray
+
+    def texts(self, numbers: np.ndarray) -> list[bytes]:
+        return [self.buf[self.first[i] : self.last[i] + MATCH].tobytes() for i in numbers]
+
+    def starts(self, numbers: np.ndarray) -> np.ndarray:
+        """All starts of strings in the pieces."""
+        count = self.last[numbers] - self.first[numbers] + 1
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return np.repeat(self.first[numbers], count) + within
+
+
+def _cut(row: dict) -> Cut:
     buf = np.frombuffer(unpacked(row["blob"]), np.uint8)
-    found: list[tuple[int, int, int]] = []
-    for _, last, starts, keys in pieces(buf, ints(row["first"]), ints(row["last"])):
-        ends = [*(starts[1:] - 1).tolist(), last]
-        found += zip(starts.tolist(), ends, keys.tolist())
-    raw = buf.tobytes()
+    found = list(pieces(buf, ints(row["first"]), ints(row["last"])))
+    none = np.empty(0, np.int64)
+    first = np.concatenate([none, *(starts for _, _, starts, _ in found)])
+    last = np.concatenate([none, *(np.append(starts[1:] - 1, b) for _, b, starts, _ in found)])
+    key = np.concatenate([none.astype(np.uint64), *(keys for _, _, _, keys in found)])
     seen: dict[bytes, int] = {}
-    times = np.zeros(len(found), np.int64)
-    for number, (a, b, _) in enumerate(found):
-        times[seen.setdefault(raw[a : b + MATCH], number)] += 1
-    return buf, found, times
+    raw = buf.tobytes()
+    leader = np.array(
+        [seen.setdefault(raw[a : b + MATCH], i) for i, (a, b) in enumerate(zip(first, last))],
+        np.int64,
+    )
+    return Cut(buf, first, last, key, leader, np.bincount(leader, minlength=len(leader)))
+
+
+def _live(marked: DataFrame) -> DataFrame:
+    rows = marked.where(F.col("blob").isNotNull())
+    return rows.select("batch", "ids", "sizes", "blob", "first", "last")
+
+
+def _heavy_keys(marked: DataFrame) -> np.ndarray:
+    """Seeds whose pieces, once for each batch, have over ``HEAVY_BYTES``. There is at most one
+    for each so many bytes of input."""
+
+    def weigh(row: dict) -> Arrays:
+        cut = _cut(row)
+        lead = np.flatnonzero(cut.times)
+        keys, at = np.unique(cut.key[lead], return_inverse=True)
+        sizes = np.bincount(at, cut.last[lead] - cut.first[lead] + MATCH, len(keys))
+        return {"key": keys.view(np.int64).tolist(), "bytes": sizes.astype(np.int64).tolist()}
+
+    weighed = map_rows(_live(marked), T.StructType.fromDDL("key long, bytes long"), weigh)
+    sums = weighed.groupBy("key").agg(F.sum("bytes").alias("bytes"))
+    rows = sums.where(F.col("bytes") > HEAVY_BYTES).collect()
+    return np.array(sorted(row["key"] for row in rows), np.int64).view(np.uint64)
+
 
+def _by_group(group: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Each group's number and the places at which it stands."""
+    order = np.argsort(group, kind="stable")
+    used, first = np.unique(group[order], return_index=True)
+    return list(zip(used.tolist(), np.split(order, first[1:]))) if len(used) else []
 
-def _dealt_pieces(marked: DataFrame, groups: int) -> DataFrame:
+
+def _dealt_pieces(marked: DataFrame, groups: int, heavy: Shared) -> DataFrame:
     """group, batch and the batch's pieces of that group: numbers, sizes, whether the batch has
     more than one (``many``), and their bytes."""
     kinds = T.StructType.fromDDL(
@@ -174,24 +232,65 @@ def _dealt_pieces(marked: DataFrame, groups: int) -> DataFrame:
     )
 
     def deal(row: dict) -> Arrays:
-        buf, found, times = _cut(row)
-        kept = np.flatnonzero(times)
-        group = np.array([found[i][2] % groups for i in kept], np.int64)
-        kept, group = kept[np.argsort(group, kind="stable")], np.sort(group)
-        used, first = np.unique(group, return_index=True)
+        cut = _cut(row)
+        kept = np.flatnonzero((cut.times > 0) & ~np.isin(cut.key, heavy.value))
         out: Arrays = {name: [] for name in kinds.names}
-        for g, own in zip(used.tolist(), np.split(kept, first[1:]) if len(used) else []):
-            texts = [buf[found[i][0] : found[i][1] + MATCH].tobytes() for i in own]
-            out["group"].append(g)
+        for group, at in _by_group((cut.key[kept] % np.uint64(groups)).astype(np.int64)):
+            texts = cut.texts(kept[at])
+            out["group"].append(group)
             out["batch"].append(row["batch"])
-            out["numbers"].append(as_ints(own))
+            out["numbers"].append(as_ints(kept[at]))
             out["sizes"].append(as_ints([len(t) for t in texts]))
-            out["many"].append((times[own] > 1).astype(np.uint8).tobytes())
+            out["many"].append((cut.times[kept[at]] > 1).astype(np.uint8).tobytes())
             out["blob"].append(packed(b"".join(texts)))
         return out
 
-    rows = marked.where(F.col("blob").isNotNull()).select("batch", "blob", "first", "last")
-    return map_rows(rows, kinds, deal)
+    return map_rows(_live(marked), kinds, deal)
+
+
+def _heavy_strings(cut: Cut, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the strings in heavy pieces, the distinct names of these strings in order, and
+    for each start the number of its name."""
+    starts = cut.starts(np.flatnonzero(np.isin(cut.key, heavy)))
+    names, at = np.unique(window_names(cut.buf, starts), axis=0, return_inverse=True)
+    return starts, names, at.reshape(-1)
+
+
+def _dealt_strings(marked: DataFrame, groups: int, heavy: Shared) -> DataFrame:
+    """group, batch, and the numbers and names of the batch's heavy strings of that group."""
+    kinds = T.StructType.fromDDL("group long, batch long, numbers binary, names binary")
+
+    def deal(row: dict) -> Arrays:
+        _, names, _ = _heavy_strings(_cut(row), heavy.value)
+        out: Arrays = {name: [] for name in kinds.names}
+        for group, at in _by_group((names[:, 0] % np.uint64(groups)).astype(np.int64)):
+            out["group"].append(group)
+            out["batch"].append(row["batch"])
+            out["numbers"].append(as_ints(at))
+            out["names"].append(names[at].tobytes())
+        return out
+
+    return map_rows(_live(marked), kinds, deal)
+
+
+def _recurring_strings(dealt: DataFrame) -> DataFrame:
+    """For each batch the numbers of heavy strings that another batch has, too."""
+
+    def find(rows: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in rows["names"]]
+        _, at, count = np.unique(
+            np.concatenate(lists), axis=0, return_inverse=True, return_counts=True
+        )
+        ends = np.cumsum([len(x) for x in lists])[:-1]
+        twice = np.split(count[at.reshape(-1)] > 1, ends)
+        found = [
+            (int(batch), as_ints(ints(numbers)[own]))
+            for batch, numbers, own in zip(rows["batch"], rows["numbers"], twice)
+            if own.any()
+        ]
+        return pd.DataFrame(found, columns=["batch", "strings"])
+
+    return dealt.groupBy("group").applyInPandas(find, "batch long, strings binary")
 
 
 def _compared(dealt: DataFrame) -> DataFrame:
@@ -226,28 +325,29 @@ def _compared(dealt: DataFrame) -> DataFrame:
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans binary"
 
 
-def _removed(marked: DataFrame, compared: DataFrame) -> DataFrame:
+def _removed(marked: DataFrame, compared: DataFrame, heavy: Shared) -> DataFrame:
     """Results of the texts of the marked batches."""
     own_id = T.StructField("id", marked.schema["id"].dataType)
     kinds = T.StructType([own_id, *T.StructType.fromDDL(RESULT).fields])
 
     def remove(row: dict) -> Arrays:
-        buf, found, times = _cut(row)
-        raw = buf.tobytes()
-        sizes = ints(row["sizes"])
-        starts = np.array([f[0] for f in found], np.int64)
-        # Pieces with the same bytes: the first of them has the number of all.
-        seen: dict[bytes, int] = {}
-        first = [seen.setdefault(raw[a : b + MATCH], i) for i, (a, b, _) in enumerate(found)]
+        cut = _cut(row)
+        buf, sizes = cut.buf, ints(row["sizes"])
         change = np.zeros(len(buf) + 1, np.int32)
-        for (a, b, _), leader in zip(found, first):
-            if times[leader] > 1:
-                change[a] += 1
-                change[b + MATCH] -= 1
+        many = cut.times[cut.leader] > 1
+        np.add.at(change, cut.first[many], 1)
+        np.add.at(change, cut.last[many] + MATCH, -1)
+        if len(heavy.value):
+            starts, names, at = _heavy_strings(cut, heavy.value)
+            again = np.bincount(at, minlength=len(names)) > 1
+            for numbers in row["strings"] or []:
+                again[ints(numbers)] = True
+            np.add.at(change, starts[again[at]], 1)
+            np.add.at(change, starts[again[at]] + MATCH, -1)
         for triples in row["runs"] or []:
             piece, lo, hi = ints(triples).reshape(-1, 3).T
-            np.add.at(change, starts[piece] + lo, 1)
-            np.add.at(change, starts[piece] + hi + MATCH, -1)
+            np.add.at(change, cut.first[piece] + lo, 1)
+            np.add.at(change, cut.first[piece] + hi + MATCH, -1)
         gone = np.cumsum(change[:-1]) > 0
         out: Arrays = {name: [] for name in kinds.names}
         begin = 0
@@ -263,9 +363,10 @@ def _removed(marked: DataFrame, compared: DataFrame) -> DataFrame:
             begin += size
         return out
 
-    repeats = compared.groupBy("batch").agg(F.collect_list("runs").alias("runs"))
-    rows = marked.where(F.col("blob").isNotNull()).drop("id", "n_bytes", "kept_sha256")
-    return map_rows(rows.join(repeats, "batch", "left"), kinds, remove)
+    repeats = compared.groupBy("batch").agg(
+        F.collect_list("runs").alias("runs"), F.collect_list("strings").alias("strings")
+    )
+    return map_rows(_live(marked).join(repeats, "batch", "left"), kinds, remove)
 
 
 def repeated_substrings(
@@ -288,7 +389,15 @@ def repeated_substrings(
     marked = snapshot(_marked(batches, recurring, group_bits), "suffix-marked")
     long_ = F.coalesce(F.sum(F.length("blob")), F.lit(0))
     groups = max(8, int(4 * marked.agg(long_.alias("n")).first()["n"] // PIECES_BYTES_PER_GROUP))
-    cut = _removed(marked, _compared(_dealt_pieces(marked, groups)))
+    keys = _heavy_keys(marked)
+    heavy = Shared(docs.sparkSession, keys)
+    compared = _compared(_dealt_pieces(marked, groups, heavy))
+    if len(keys):
+        strings = _recurring_strings(_dealt_strings(marked, groups, heavy))
+        compared = compared.unionByName(strings, allowMissingColumns=True)
+    else:
+        compared = compared.withColumn("strings", F.lit(None).cast("binary"))
+    cut = _removed(marked, compared, heavy)
     whole = marked.where(F.col("blob").isNull()).select(
         "id",
         "n_bytes",

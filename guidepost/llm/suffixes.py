@@ -110,6 +110,12 @@ def pieces(
         yield a, b, cut + a, least[cut]
 
 
+def window_names(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """128 bits for the MATCH bytes at each start: the names of the two tuples that cover them."""
+    names = named(buf, ROUNDS)
+    return np.stack([mix64(names[starts]), mix64(names[starts + SHIFT])], axis=1)
+
+
 def _same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the MATCH bytes from ``a`` on equal those from ``b`` on."""
     same = np.ones(len(a), bool)
