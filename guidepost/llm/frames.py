@@ -82,6 +82,18 @@ class Shared:
 BLOCK_BYTES = 2 * 1024 * 1024
 
 
+def slices(texts: list[bytes | None], limit: int = BLOCK_BYTES) -> Iterator[slice]:
+    """Slices of a list that hold some ``limit`` bytes each (or one longer text)."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text or b"") + 64
+        if size >= limit:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[list, list[bytes]]]:

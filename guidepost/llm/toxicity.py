@@ -22,7 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from guidepost.functions import column
-from guidepost.llm.frames import Shared, blocks, fresh, id_and_bytes, in_held_out, per_row
+from guidepost.llm.frames import (
+    Shared,
+    blocks,
+    fresh,
+    id_and_bytes,
+    in_held_out,
+    per_row,
+    slices,
+)
 from guidepost.llm.samples import about, labelled
 from guidepost.llm.textops import Words, grams, mix64, words_of
 from guidepost.sources.scratch import snapshot
@@ -297,7 +305,8 @@ def toxicity(
 def _scorer(held: Shared) -> Callable[[Column], Column]:
     def score(texts: pd.Series) -> pd.Series:
         raw = [None if t is None else t.encode("utf-8", "replace") for t in texts]
-        return pd.Series(held.value.scores(raw))
+        parts = [held.value.scores(raw[part]) for part in slices(raw)]
+        return pd.Series(np.concatenate([np.empty(0), *parts]))
 
     return F.pandas_udf(score, T.DoubleType())
 
