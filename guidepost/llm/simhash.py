@@ -173,7 +173,8 @@ def drop_near_duplicates(
     first = marked.groupBy("point").agg(F.min("id").alias("first"))
     kept = first.join(groups, "point").groupBy("group").agg(F.min("first").alias("kept"))
     stays = snapshot(kept.select(F.col("kept.hash").alias("kept_hash"), "kept"), "simhash-kept")
-    found = keyed.drop("text").join(
-        stays, (F.col("hash") == F.col("kept_hash")) & F.col("key").eqNullSafe(F.col("kept"))
-    )
+    # Rows are shuffled by the hash alone, which also serves the last step; that the keys are equal
+    # is said in two halves, as an equality would become one more key of the shuffle.
+    same = F.col("key").between(F.col("kept"), F.col("kept"))
+    found = keyed.drop("text").join(stays, (F.col("hash") == F.col("kept_hash")) & same)
     return found.dropDuplicates(["hash", "key"]).select("row.*")
