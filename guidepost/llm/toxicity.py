@@ -2,11 +2,12 @@
 
 Two bigram models, of toxic and of ordinary texts, with discounted counts, continuation counts
 for words, and a backoff distribution that both share: word counts over all documents. A count
-is discounted by what the counts of both classes together lead one to expect and by two
-deviations of that, so a class keeps only what it says clearly more often than the other, and
-rare expressions fall back on what both share. Copies are counted once, and a pair once in a
-text. The difference of the log-likelihoods for a token, averaged over a text, is turned into a
-probability by a logistic curve fitted on labelled rows that no count was taken from.
+is discounted by what the counts of both classes together lead one to expect, and by two
+deviations or a quarter of that, whichever is more. So a class keeps only what it says clearly
+more often than the other, and rare expressions fall back on what both share. Copies are counted
+once, and a pair once in a text. The difference of the log-likelihoods for a token, averaged over a
+text, is turned into a probability by a logistic curve fitted on labelled rows that no count
+was taken from.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from guidepost.sources.scratch import snapshot
 LABELLED_ROWS = 40_000  # bound of the sample of labelled rows
 WORD_BITS = 17  # words are counted by hash, so that no table grows with the vocabulary
 PAIR_BITS = 20
+MARGIN = 1.25  # times what is expected; languages and topics vary by less between the classes
 SKETCH = 3  # words of the shingles by whose least hash copies are told
 THRESHOLD = 0.3
 EXPECTED = 0.1  # share of toxic texts before any label is seen, worth ten labels
@@ -172,7 +174,8 @@ def kneser_ney(train: DataFrame, everywhere: np.ndarray) -> Model:
     shared = (everywhere + 1) / (everywhere.sum() + size)
     every = np.maximum(seen.sum(1, keepdims=True), 1)
     expected = every * seen.sum(0) / every.sum()
-    words = np.maximum(seen - expected - 2 * np.sqrt(expected) - 1, 0) / every
+    likely = np.maximum(MARGIN * expected, expected + 2 * np.sqrt(expected) + 1)
+    words = np.maximum(seen - likely, 0) / every
     words += (1 - words.sum(1, keepdims=True)) * shared
 
     # The table of forerunners has 2**WORD_BITS rows at most.
@@ -181,7 +184,8 @@ def kneser_ney(train: DataFrame, everywhere: np.ndarray) -> Model:
 
     def kept(c: int) -> Column:
         likely = both * F.col(f"t{c}") / (F.col("t0") + F.col("t1"))
-        return F.greatest(F.col(f"n{c}") - likely - 2 * F.sqrt(likely) - 1, F.lit(0.0))
+        discount = F.greatest(MARGIN * likely, likely + 2 * F.sqrt(likely) + 1)
+        return F.greatest(F.col(f"n{c}") - discount, F.lit(0.0))
 
     hashed = (F.col("v") * BUCKET_V + F.col("w") * BUCKET_W).bitwiseAND(0xFFFFFFFF)
     bucket = F.shiftright(hashed, 32 - PAIR_BITS).alias("bucket")
