@@ -166,8 +166,8 @@ def judge(
     All texts that pass the base rule vote (the others are decided, and would only teach what
     the base rule knows); patterns of votes are counted by Spark and the driver gets one row for
     each pattern that occurs, at most 3 to the number of rules. The probability is null where
-    the base rule fails. A null text counts as empty: it has no words and fails it. Repeated rows are judged alike; other columns are
-    not looked at; an empty table gives an empty result.
+    the base rule fails. A null text counts as empty: it has no words and fails it.
+    Repeated rows are judged alike; other columns are not looked at; an empty table gives an empty result.
     """
     fields = [T.StructField("id", docs.schema[doc_id].dataType)]
     fields += [T.StructField(name, T.LongType()) for name in MEASURES]
