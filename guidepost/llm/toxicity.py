@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -33,14 +34,13 @@ from guidepost.llm.frames import (
     slices,
 )
 from guidepost.llm.samples import about, labelled
-from guidepost.llm.textops import Words, grams, mix64, words_of
+from guidepost.llm.textops import Words, mix64, words_of
 from guidepost.sources.scratch import snapshot
 
 LABELLED_ROWS = 40_000  # bound of the sample of labelled rows
 WORD_BITS = 17  # words are counted by hash, so that no table grows with the vocabulary
 PAIR_BITS = 20
 MARGIN = 1.25  # times what is expected; languages and topics vary by less between the classes
-SKETCH = 3  # words of the shingles by whose least hash copies are told
 THRESHOLD = 0.3
 EXPECTED = 0.1  # share of toxic texts before any label is seen, worth ten labels
 FOLDS, HELD_OUT = 4, 2
@@ -203,20 +203,15 @@ def kneser_ney(train: DataFrame, everywhere: np.ndarray) -> Model:
 
 
 def without_copies(train: DataFrame) -> DataFrame:
-    """One row for each least hash of a text's shingles, which exact and most near copies share."""
-
-    def sketch(ids: list, texts: list[bytes | None]) -> dict[str, list]:
-        words, _, _ = _tokenized(texts)
-        keys, at = grams(words.hash, words.text, SKETCH)
-        least = np.full(len(texts), np.iinfo(np.uint64).max, np.uint64)
-        np.minimum.at(least, words.text[at], keys)
-        return {"id": ids, "sketch": least.view(np.int64).tolist()}
-
-    kinds = T.StructType([T.StructField("id", train.schema["id"].dataType)]).add("sketch", "long")
-    sketched = per_row(train.select("id", "text"), kinds, sketch)
-    first = sketched.groupBy("sketch").agg(F.min("id").alias("id")).select("id").distinct()
-    # The sample is bounded, and so are its ids.
-    return train.join(F.broadcast(first), "id", "left_semi")
+    """id, text and label, one row for each label and sequence of tokens."""
+
+    def digests(texts: pd.Series) -> pd.Series:
+        tokens = ((t or b"").translate(_TOKENS).split() for t in texts)
+        return pd.Series([blake2b(b" ".join(t), digest_size=16).digest() for t in tokens])
+
+    digest = F.pandas_udf(digests, T.BinaryType())(F.col("text"))
+    alike = train.select("id", "label", "text", digest.alias("digest")).groupBy("label", "digest")
+    return alike.agg(F.min(F.struct("id", "text")).alias("row")).select("row.id", "row.text", "label")
 
 
 def balanced(train: DataFrame) -> DataFrame:

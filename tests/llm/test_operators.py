@@ -19,7 +19,7 @@ from guidepost.llm.quality_model import quality
 from guidepost.llm.quality_rules import BAD, GOOD, NONE, judge, posteriors
 from guidepost.llm.sql import ORACLES
 from guidepost.llm.textops import grams, words_of
-from guidepost.llm.toxicity import toxicity
+from guidepost.llm.toxicity import toxicity, without_copies
 from tests.llm.fixtures import benchmark, docs
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -121,6 +121,16 @@ def test_toxicity_on_held_out_rows(table):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
 
 
+def test_unlike_texts_are_no_copies(spark):
+    rows = [(i, f"the same few words here {w}", 0) for i, w in enumerate("abcdefghijklmnop")]
+    rows += [(20, "bad dog", 1), (21, "good", 0), (22, "Bad, dog!", 1), (23, "bad dog", 0)]
+    train = spark.createDataFrame(rows, "id long, text string, label int")
+    kept = without_copies(train.selectExpr("id", "CAST(text AS binary) text", "label"))
+    found = [(r["label"], bytes(r["text"]).decode()) for r in kept.collect()]
+    assert len(found) == len(rows) - 1  # 22 says what 20 says, under the same label
+    assert {t for _, t in found} >= {t for i, t, _ in rows if i not in (20, 22)}
+
+
 def test_language_on_held_out_rows(table):
     rows = identify(table("documents")).join(table("documents"), "doc_id").where("held_out").collect()
     assert len(rows) > 200
