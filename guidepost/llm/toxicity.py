@@ -1,31 +1,35 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two bigram models, of toxic and of ordinary texts, with discounted counts, continuation counts
-for words, and a backoff distribution that both share: word counts over all documents. A count
-is discounted by what the counts of both classes together lead one to expect, and by two
-deviations or a quarter of that, whichever is more. So a class keeps only what it says clearly
-more often than the other, and rare expressions fall back on what both share. Copies are counted
-once, and a pair once in a text. The difference of the log-likelihoods for a token, averaged over a
-text, is turned into a probability by a logistic curve fitted on labelled rows that no count
+Two bigram models, of toxic and of ordinary texts, with absolute discounts (0 < D < 1, from the
+counts of counts), continuation counts for words, and backoff counts that both share: word counts
+over all documents for words, the pairs of both classes for pairs. As in Kneser-Ney smoothing,
+what the discount takes goes to the backoff so that the expected counts stay: an expression
+that is expected e times gets D * (1 - exp(-e)) back. So a rare expression says little, but not
+nothing, and one that both classes use alike says nothing. Copies are counted once, and a pair once
+in a text.
+
+A toxic text is ordinary in most places: each token comes from the toxic model with a small
+probability, else from the ordinary one. The mean log-likelihood ratio of that mixture is turned
+into a probability by a logistic curve; share and curve are fitted on labelled rows that no count
 was taken from.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from guidepost.functions import column
 from guidepost.llm.frames import (
-    Shared,
     blocks,
     fresh,
     id_and_bytes,
@@ -33,14 +37,13 @@ from guidepost.llm.frames import (
     per_row,
     slices,
 )
-from guidepost.llm.samples import about, labelled
-from guidepost.llm.textops import Words, mix64, words_of
+from guidepost.llm.samples import labelled
+from guidepost.llm.textops import Words, mix64, sums_by_text, words_of
 from guidepost.sources.scratch import snapshot
 
 LABELLED_ROWS = 40_000  # bound of the sample of labelled rows
-WORD_BITS = 17  # words are counted by hash, so that no table grows with the vocabulary
-PAIR_BITS = 20
-MARGIN = 1.25  # times what is expected; languages and topics vary by less between the classes
+WORD_BITS = 17  # words of all documents are counted by hash
+SHARES = 0.1, 0.03, 0.01, 0.003  # of a toxic text's tokens that come from the toxic model
 THRESHOLD = 0.3
 EXPECTED = 0.1  # share of toxic texts before any label is seen, worth ten labels
 FOLDS, HELD_OUT = 4, 2
@@ -51,175 +54,209 @@ _TOKENS = bytes(
 
 
 def _tokenized(texts: list[bytes | None]) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The words of the texts, each as a number below 2**WORD_BITS, and each one's forerunner
-    (number 0 before the first of a text)."""
+    """The words of the texts, the key of each, and the key of its forerunner (0 before the first
+    of a text)."""
     words = words_of([(t or b"").translate(_TOKENS) for t in texts])
-    number = (words.hash >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-    before = np.zeros(len(number), np.int64)
-    before[1:] = np.where(words.text[1:] == words.text[:-1], number[:-1], 0)
-    return words, number, before
+    word = words.hash
+    before = np.zeros(len(word), np.uint64)
+    before[1:] = np.where(words.text[1:] == words.text[:-1], word[:-1], 0)
+    return words, word, before
 
 
-# A linear hash that is the same in numpy and in SQL.
-BUCKET_V, BUCKET_W = 0x9E3779B1, 0x85EBCA77
+def _pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix64(mix64(before) + word * np.uint64(3))
 
 
-def _pair_bucket(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return ((v * BUCKET_V + w * BUCKET_W) & 0xFFFFFFFF) >> (32 - PAIR_BITS)
-
-
-def _word_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """How often each word number occurs in all documents; each task sends one row for each."""
+def _word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """word and n: how often each word occurs in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << WORD_BITS, np.int64)
         for _, texts in blocks(batches):
-            total += np.bincount(_tokenized(texts)[1], minlength=1 << WORD_BITS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["word", "n"])
+            number = _tokenized(texts)[1] >> np.uint64(64 - WORD_BITS)
+            words, n = np.unique(number, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"]
+            )
 
     rows = docs.select(F.lit(0).alias("id"), column(text).cast("binary").alias("text"))
-    counted = rows.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()
-    total = np.zeros(1 << WORD_BITS)
-    total[found["word"].to_numpy(int)] = found["n"].to_numpy(float)
-    return total
+    counted = rows.mapInArrow(count, "word long, n long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _pair_counts(train: DataFrame) -> DataFrame:
-    """label, v, w and n: in how many texts of a label word v comes before word w."""
+    """v, w, n0 and n1: in how many texts of each label word v comes before word w."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in blocks(batches):
-            words, number, before = _tokenized(texts)
-            pair = mix64((before << WORD_BITS) | number)
+            words, word, before = _tokenized(texts)
+            pair = _pair_keys(before, word)
             once = np.unique(pair ^ mix64(words.text + 1), return_index=True)[1]
             label = np.array(rows, np.int64)[words.text[once]]
-            key = (label << (2 * WORD_BITS)) | (before[once] << WORD_BITS) | number[once]
-            keys, counts = np.unique(key, return_counts=True)
+            _, first, at = np.unique(pair[once], return_index=True, return_inverse=True)
+            n = [np.bincount(at[label == c], minlength=len(first)) for c in (0, 1)]
+            keys = [x[once][first].view(np.int64) for x in (before, word)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(counts.astype(np.int64))], ["key", "n"]
+                [pa.array(x.astype(np.int64)) for x in (*keys, *n)], ["v", "w", "n0", "n1"]
             )
 
     rows = train.select(F.col("label").alias("id"), "text")
-    counted = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    mask = (1 << WORD_BITS) - 1
-    return counted.select(
-        F.shiftright("key", 2 * WORD_BITS).cast("int").alias("label"),
-        F.shiftright("key", WORD_BITS).bitwiseAND(mask).alias("v"),
-        F.col("key").bitwiseAND(mask).alias("w"),
-        "n",
-    )
+    counted = rows.mapInArrow(count, "v long, w long, n0 long, n1 long")
+    return counted.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def discount(once: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """The absolute discount for each class, from how many counts are one and two."""
+    return (np.asarray(once) + 0.5) / (np.asarray(once) + 2.0 * np.asarray(twice) + 1)
+
+
+def _arrays(rows: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:
+    """Some columns of a table of bounded size, on the driver."""
+    found = rows.select(*kinds).toArrow()
+    return [found[name].to_numpy().astype(kind, copy=False) for name, kind in kinds.items()]
+
+
+def _gathered(weighed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs' keys, ascending, and their ratios. The driver takes one partition at a time, so
+    that it holds the sample's pairs once."""
+    size = weighed.agg(F.sum("size")).first()[0] or 0
+    keys, ratios = np.empty(size, np.uint64), np.empty(size, np.float32)
+    at = 0
+    for row in weighed.toLocalIterator():
+        keys[at : at + row["size"]] = np.frombuffer(row["keys"], np.uint64)
+        ratios[at : at + row["size"]] = np.frombuffer(row["ratios"], np.float32)
+        at += row["size"]
+    ratios = ratios[np.argsort(keys)]
+    keys.sort()
+    return keys, ratios
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted key is in the ascending ``keys``, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    order = np.argsort(wanted)  # neighbours are found faster
+    at = np.empty(len(wanted), np.int64)
+    at[order] = np.minimum(np.searchsorted(keys, wanted[order]), len(keys) - 1)
+    return at, keys[at] == wanted
 
 
 @dataclass
 class Model:
-    """For both classes: discounted pair counts, and for each forerunner its total and backoff
-    weight; for each word its backoff probability."""
+    """Likelihood ratios, toxic to ordinary, of the words and pairs of the sample (``ratios``, sent
+    once), and the curve. Other words have the ratio ``unseen``, other pairs that of their word."""
 
-    pairs: np.ndarray
-    totals: np.ndarray
-    backoff: np.ndarray
-    words: np.ndarray
+    ratios: Broadcast
+    unseen: float = 1.0
+    share: float = SHARES[-1]
     slope: float = 1.0
     offset: float = 0.0
     prior: float = 0.5
 
-    def evidence(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """For each text the mean difference of the log-likelihoods, and its tokens."""
-        words, number, before = _tokenized(texts)
-        bucket = _pair_bucket(before, number)
-        log = [
-            np.log(self.pairs[c, bucket] / self.totals[c, before]
-                   + self.backoff[c, before] * self.words[c, number])
-            for c in (0, 1)
-        ]
-        sums = np.diff(np.concatenate([[0.0], np.cumsum(log[1] - log[0])])[words.first])
+    def evidence(
+        self, texts: list[bytes | None], shares: Sequence[float]
+    ) -> tuple[list[np.ndarray], np.ndarray]:
+        """For each share the texts' mean log-likelihood ratios, and their tokens."""
+        sent = self.ratios.value
+        words, word, before = _tokenized(texts)
+        at, known = _places(sent["words"], word)
+        ratio = np.full(len(word), self.unseen)
+        ratio[known] = sent["word_ratios"][at[known]]
+        at, known = _places(sent["pairs"], _pair_keys(before, word))
+        ratio[known] = sent["pair_ratios"][at[known]]
         counts = words.counts()
-        return sums / np.maximum(counts, 1), counts
+        sums = (sums_by_text(np.log1p(share * (ratio - 1)), words) for share in shares)
+        return [x / np.maximum(counts, 1) for x in sums], counts
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         """Probabilities; texts without a token get the share of toxic ones."""
-        mean, counts = self.evidence(texts)
+        (mean,), counts = self.evidence(texts, [self.share])
         curve = 1 / (1 + np.exp(-np.clip(self.slope * mean + self.offset, -50, 50)))
         return np.where(counts > 0, curve, self.prior)
 
 
-def _by_number(rows: pd.DataFrame, key: str, names: list[str], size: int) -> np.ndarray:
-    """A row for each of the named columns, by the number in ``key``."""
-    found = np.zeros((len(names), size))
-    found[:, rows[key].to_numpy(int)] = rows[names].to_numpy(float).T
-    return found
-
+def kneser_ney(train: DataFrame, everywhere: DataFrame) -> Model:
+    """The ratios of both models of ``train`` (label, text), backed off to the counts of
+    ``everywhere`` (word, n).
 
-def kneser_ney(train: DataFrame, everywhere: np.ndarray) -> Model:
-    """Both models from ``train`` (label, text), backed off to the counts of ``everywhere``.
-
-    The driver gets tables by word number and by pair bucket, of fixed size.
+    The driver and the tasks get the words and pairs of ``train`` only; ``everywhere`` stays a table.
     """
-    counted = _pair_counts(train).groupBy("v", "w")
-    pairs = snapshot(
-        counted.agg(
-            *[F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
-        ),
-        "toxicity-pairs",
-    )
-    size = 1 << WORD_BITS
-    forerunners = pairs.groupBy("v").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
-    totals = _by_number(forerunners.toPandas(), "v", ["t0", "t1"], size)
-    followed = pairs.groupBy("w").agg(
-        F.count_if(F.col("n0") > 0).alias("n0"), F.count_if(F.col("n1") > 0).alias("n1")
-    )
-    seen = _by_number(followed.toPandas(), "w", ["n0", "n1"], size)
-    shared = (everywhere + 1) / (everywhere.sum() + size)
-    every = np.maximum(seen.sum(1, keepdims=True), 1)
-    expected = every * seen.sum(0) / every.sum()
-    likely = np.maximum(MARGIN * expected, expected + 2 * np.sqrt(expected) + 1)
-    words = np.maximum(seen - likely, 0) / every
-    words += (1 - words.sum(1, keepdims=True)) * shared
-
-    # The table of forerunners has 2**WORD_BITS rows at most.
-    known = pairs.join(F.broadcast(forerunners), "v")
-    both = F.col("n0") + F.col("n1")
-
-    def kept(c: int) -> Column:
-        likely = both * F.col(f"t{c}") / (F.col("t0") + F.col("t1"))
-        discount = F.greatest(MARGIN * likely, likely + 2 * F.sqrt(likely) + 1)
-        return F.greatest(F.col(f"n{c}") - discount, F.lit(0.0))
-
-    hashed = (F.col("v") * BUCKET_V + F.col("w") * BUCKET_W).bitwiseAND(0xFFFFFFFF)
-    bucket = F.shiftright(hashed, 32 - PAIR_BITS).alias("bucket")
-    often = snapshot(
-        known.select("v", bucket, kept(0).alias("k0"), kept(1).alias("k1")).where("k0 + k1 > 0"),
-        "toxicity-kept",
+    context = train.sparkSession.sparkContext
+    pairs = snapshot(_pair_counts(train), "toxicity-pairs")
+    few = [F.count_if(F.col(f"n{c}") == k).alias(f"f{k}{c}") for k in (1, 2) for c in (0, 1)]
+    seen = [F.count_if(F.col(f"n{c}") > 0).alias(f"n{c}") for c in (0, 1)]
+    total = pairs.agg(*few, *seen).first()
+    every = np.array([total["n0"], total["n1"]], float)
+    none = np.empty(0, np.uint64)
+    if not every.all():  # a class without rows
+        empty = {"words": none, "word_ratios": none, "pairs": none, "pair_ratios": none}
+        return Model(context.broadcast(empty))
+
+    # How often a word goes before another one in a text of each class, and its forerunners.
+    first = pairs.groupBy(F.col("v").alias("word")).agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
+    second = pairs.groupBy(F.col("w").alias("word")).agg(*seen).withColumnsRenamed({"n0": "c0", "n1": "c1"})
+    number = F.shiftrightunsigned("word", 64 - WORD_BITS)
+    shared = everywhere.withColumnRenamed("word", "number")
+    known = first.join(second, "word", "full").join(shared, number == F.col("number"), "left")
+    counts = {name: np.float32 for name in ("t0", "t1", "c0", "c1", "n")}
+    words, *counted = _arrays(known.na.fill(0), {"word": np.int64, **counts})
+    words = words.view(np.uint64)
+    order = np.argsort(words)
+    words, (t0, t1, c0, c1, n) = words[order], (x[order].astype(float) for x in counted)
+    tokens = everywhere.agg(F.sum("n")).first()[0]
+    backed = everywhere.agg(*[F.sum(1 - F.exp(-F.col("n") * x / tokens)) for x in every]).first()
+
+    likely = []  # the continuation probability of each word, in both classes
+    rest = []  # what a word outside the sample gets, over its share of all tokens
+    for c, own in enumerate((c0, c1)):
+        d = discount((own == 1).sum(), (own == 2).sum())
+        back = d * (own > 0).sum() / backed[c]
+        likely.append((np.maximum(own - d, 0) + back * -np.expm1(-every[c] * n / tokens)) / every[c])
+        rest.append(back)
+    p0, p1 = likely
+    p0[(c0 + c1) == 0] = p1[(c0 + c1) == 0] = 1.0  # the start of a text is no word
+    pooled = (every[0] * p0 + every[1] * p1) / every.sum()
+    numbers = [x.astype(np.float32) for x in (t0, t1, p0 / pooled, p1 / pooled)]
+    table = context.broadcast({"words": words, "numbers": numbers})
+    own_discount = discount([total["f10"], total["f11"]], [total["f20"], total["f21"]])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, (t0, t1, tilt0, tilt1) = table.value["words"], table.value["numbers"]
+        for batch in batches:
+            v, w, *n = (batch.column(i).to_numpy() for i in range(4))
+            v, w = v.view(np.uint64), w.view(np.uint64)
+            before, at = _places(words, v)[0], _places(words, w)[0]
+            totals = [t[before].astype(float) for t in (t0, t1)]
+            share = (n[0] + n[1]) / (totals[0] + totals[1])
+            # Both classes back off to the word after a forerunner that one of them does not have.
+            both = (totals[0] > 0) & (totals[1] > 0)
+            found = []
+            for own, t, tilt, d in zip(n, totals, (tilt0, tilt1), own_discount):
+                back = d * -np.expm1(-t * share * tilt[at])
+                found.append(((np.maximum(own - d, 0) + back) / np.maximum(t, 1))[both])
+            key = _pair_keys(v, w)[both].tobytes()
+            ratio = (found[1] / found[0]).astype(np.float32).tobytes()
+            arrays = [pa.array([x]) for x in (int(both.sum()), key, ratio)]
+            yield pa.RecordBatch.from_arrays(arrays, ["size", "keys", "ratios"])
+
+    weighed = snapshot(
+        pairs.mapInArrow(weigh, "size long, keys binary, ratios binary"), "toxicity-ratios"
     )
-    sums = [F.sum("k0").alias("k0"), F.sum("k1").alias("k1")]
-    taken = _by_number(often.groupBy("v").agg(*sums).toPandas(), "v", ["k0", "k1"], size)
-    table = often.groupBy("bucket").agg(*sums).toPandas()
-    numerators = _by_number(table, "bucket", ["k0", "k1"], 1 << PAIR_BITS)
-    totals = np.maximum(totals, 1e-9)
-    backoff = 1 - taken / totals
-    return Model(*(x.astype(np.float32) for x in (numerators, totals, backoff, words)))
+    keys, ratios = _gathered(weighed)
+    sent = {"words": words, "word_ratios": (p1 / p0).astype(np.float32),
+            "pairs": keys, "pair_ratios": ratios}
+    return Model(context.broadcast(sent), unseen=float(rest[1] / rest[0]))
 
 
 def without_copies(train: DataFrame) -> DataFrame:
-    """id, text and label, one row for each label and sequence of tokens."""
+    """label and text, one row for each label and sequence of tokens."""
 
     def digests(texts: pd.Series) -> pd.Series:
         tokens = ((t or b"").translate(_TOKENS).split() for t in texts)
         return pd.Series([blake2b(b" ".join(t), digest_size=16).digest() for t in tokens])
 
     digest = F.pandas_udf(digests, T.BinaryType())(F.col("text"))
-    alike = train.select("id", "label", "text", digest.alias("digest")).groupBy("label", "digest")
-    return alike.agg(F.min(F.struct("id", "text")).alias("row")).select("row.id", "row.text", "label")
-
-
-def balanced(train: DataFrame) -> DataFrame:
-    """``train`` with as many ordinary rows as toxic ones, about, chosen by a hash of the id."""
-    ordinary = train.where("label = 0")
-    return about(ordinary, train.where("label = 1").count(), F.lit(7), F.col("id")).union(
-        train.where("label = 1")
-    )
+    alike = train.select("label", "text", digest.alias("digest")).groupBy("label", "digest")
+    return alike.agg(F.min("text").alias("text")).drop("digest")
 
 
 def fit_curve(mean: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -236,6 +273,12 @@ def fit_curve(mean: np.ndarray, label: np.ndarray, rounds: int = 50) -> tuple[fl
     return float(weights[0] / scale), float(weights[1])
 
 
+def likelihood(mean: np.ndarray, label: np.ndarray, slope: float, offset: float) -> float:
+    """The log-likelihood of the labels under a curve."""
+    x = slope * mean + offset
+    return float((label * x - np.logaddexp(0, x)).sum())
+
+
 def train_model(
     docs: DataFrame,
     labels: DataFrame,
@@ -246,23 +289,21 @@ def train_model(
 ) -> Model:
     """The model from about ``rows`` labelled rows outside the held-out fold.
 
-    A quarter of them is kept from the counts and fits the curve; the rest is counted, toxic and
-    ordinary rows in equal numbers. Without labelled rows of both
-    classes every text gets the prior.
+    A quarter of them is kept from the counts and fits share and curve; all of the rest is
+    counted. Without labelled rows of both classes every text gets the prior.
     """
     sample = snapshot(
         labelled(docs, labels, doc_id, text, label, FOLDS, HELD_OUT, rows), "toxicity-sample"
     )
     aside = F.pmod(F.xxhash64("id"), F.lit(4)) == 0
-    counted = balanced(without_copies(sample.where(~aside)))
-    model = kneser_ney(counted, _word_counts(docs, text))
-    held = Shared(docs.sparkSession, model)
+    everywhere = snapshot(_word_counts(docs, text), "toxicity-words")
+    model = kneser_ney(without_copies(sample.where(~aside)), everywhere)
 
     def weigh(own: list, texts: list[bytes | None]) -> dict[str, list]:
-        mean, counts = held.value.evidence(texts)
-        return {"label": own, "mean": mean.tolist(), "n": counts.tolist()}
+        means, counts = model.evidence(texts, SHARES)
+        return {"label": own, "means": np.stack(means, 1).tolist(), "n": counts.tolist()}
 
-    kinds = T.StructType.fromDDL("label int, mean double, n long")
+    kinds = T.StructType.fromDDL("label int, means array<double>, n long")
     rows_aside = sample.where(aside).select(F.col("label").alias("id"), "text")
     found = per_row(rows_aside, kinds, weigh).toPandas()
     seen = found["label"].to_numpy(float)
@@ -270,7 +311,9 @@ def train_model(
     used = found[found["n"] > 0]
     known = used["label"].to_numpy(float)
     if 0 < known.sum() < len(known):
-        model.slope, model.offset = fit_curve(used["mean"].to_numpy(float), known)
+        fitted = [(share, *fit_curve(x, known)) for share, x in zip(SHARES, np.stack(used["means"]).T)]
+        fits = [likelihood(x, known, *curve) for (_, *curve), x in zip(fitted, np.stack(used["means"]).T)]
+        model.share, model.slope, model.offset = fitted[int(np.argmax(fits))]
     else:
         model.slope, model.offset = 0.0, float(np.log(model.prior / (1 - model.prior)))
     return model
@@ -286,11 +329,10 @@ def toxicity(
     looked at; an empty table stays empty.
     """
     model = train_model(docs, labels, doc_id, text, **options)
-    held = Shared(docs.sparkSession, model)
     kinds = T.StructType([T.StructField("id", docs.schema[doc_id].dataType)]).add("score", "double")
 
     def run(ids: list, texts: list[bytes | None]) -> dict[str, list]:
-        return {"id": ids, "score": held.value.scores(texts).tolist()}
+        return {"id": ids, "score": model.scores(texts).tolist()}
 
     scored = per_row(id_and_bytes(docs, doc_id, text), kinds, run)
     return scored.select(
@@ -301,10 +343,10 @@ def toxicity(
     )
 
 
-def _scorer(held: Shared) -> Callable[[Column], Column]:
+def _scorer(model: Model) -> Callable[[Column], Column]:
     def score(texts: pd.Series) -> pd.Series:
         raw = [None if t is None else t.encode("utf-8", "replace") for t in texts]
-        parts = [held.value.scores(raw[part]) for part in slices(raw)]
+        parts = [model.scores(raw[part]) for part in slices(raw)]
         return pd.Series(np.concatenate([np.empty(0), *parts]))
 
     return F.pandas_udf(score, T.DoubleType())
@@ -315,7 +357,7 @@ def drop_toxic(
 ) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, in their own columns."""
     model = train_model(docs, labels, doc_id, text, **options)
-    score = _scorer(Shared(docs.sparkSession, model))
+    score = _scorer(model)
     name = fresh(docs, "score")
     scored = docs.withColumn(name, score(column(text))).where(F.col(name) < THRESHOLD)
     return scored.select(*[column(c) for c in docs.columns])

@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from guidepost.llm import batches as batches_module
 from guidepost.llm import chunks, decontaminate, pii, simhash, suffix_dedup, suffixes, vantage
@@ -19,7 +20,7 @@ from guidepost.llm.quality_model import quality
 from guidepost.llm.quality_rules import BAD, GOOD, NONE, judge, posteriors
 from guidepost.llm.sql import ORACLES
 from guidepost.llm.textops import grams, words_of
-from guidepost.llm.toxicity import toxicity, without_copies
+from guidepost.llm.toxicity import discount, toxicity, without_copies
 from tests.llm.fixtures import benchmark, docs
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -121,6 +122,24 @@ def test_toxicity_on_held_out_rows(table):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
 
 
+@pytest.mark.parametrize("size, least", [("sf0.01", 9), ("sf0.1", 90)])
+def test_rare_toxic_expressions_count(spark, size, least):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{size}/{n}.parquet") for n in ("documents", "labels"))
+    insults = "idiot trash scum moron clown loser stupid pathetic worthless disgusting".split()
+    insulting = F.arrays_overlap(F.split(F.lower("text"), "[^a-z]+"), F.array(*map(F.lit, insults)))
+    scored = toxicity(docs, labels).join(labels, "doc_id").where("held_out")
+    rows = scored.join(docs.select("doc_id", insulting.alias("insulting")), "doc_id").collect()
+    assert all(r["predicted"] for r in rows if r["insulting"])
+    assert sum(r["predicted"] for r in rows if r["toxic"]) >= least
+    clean = [r["predicted"] for r in rows if not r["toxic"] and not r["insulting"]]
+    assert sum(clean) <= 0.015 * len(clean)
+
+
+@pytest.mark.parametrize("once, twice", [(0, 0), (0, 5), (5, 0), (1000, 100)])
+def test_discounts_are_absolute(once, twice):
+    assert 0 < discount(once, twice) < 1
+
+
 def test_unlike_texts_are_no_copies(spark):
     rows = [(i, f"the same few words here {w}", 0) for i, w in enumerate("abcdefghijklmnop")]
     rows += [(20, "bad dog", 1), (21, "good", 0), (22, "Bad, dog!", 1), (23, "bad dog", 0)]
