@@ -42,7 +42,6 @@ from guidepost.llm.textops import Words, mix64, sums_by_text, words_of
 from guidepost.sources.scratch import snapshot
 
 LABELLED_ROWS = 40_000  # bound of the sample of labelled rows
-WORD_BITS = 17  # words of all documents are counted by hash
 SHARES = 0.1, 0.03, 0.01, 0.003  # of a toxic text's tokens that come from the toxic model
 THRESHOLD = 0.3
 EXPECTED = 0.1  # share of toxic texts before any label is seen, worth ten labels
@@ -72,8 +71,7 @@ def _word_counts(docs: DataFrame, text: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in blocks(batches):
-            number = _tokenized(texts)[1] >> np.uint64(64 - WORD_BITS)
-            words, n = np.unique(number, return_counts=True)
+            words, n = np.unique(_tokenized(texts)[1], return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"]
             )
@@ -115,21 +113,6 @@ def _arrays(rows: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:
     return [found[name].to_numpy().astype(kind, copy=False) for name, kind in kinds.items()]
 
 
-def _gathered(weighed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs' keys, ascending, and their ratios. The driver takes one partition at a time, so
-    that it holds the sample's pairs once."""
-    size = weighed.agg(F.sum("size")).first()[0] or 0
-    keys, ratios = np.empty(size, np.uint64), np.empty(size, np.float32)
-    at = 0
-    for row in weighed.toLocalIterator():
-        keys[at : at + row["size"]] = np.frombuffer(row["keys"], np.uint64)
-        ratios[at : at + row["size"]] = np.frombuffer(row["ratios"], np.float32)
-        at += row["size"]
-    ratios = ratios[np.argsort(keys)]
-    keys.sort()
-    return keys, ratios
-
-
 def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each wanted key is in the ascending ``keys``, and whether it is there."""
     if not len(keys):
@@ -194,9 +177,7 @@ def kneser_ney(train: DataFrame, everywhere: DataFrame) -> Model:
     # How often a word goes before another one in a text of each class, and its forerunners.
     first = pairs.groupBy(F.col("v").alias("word")).agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))
     second = pairs.groupBy(F.col("w").alias("word")).agg(*seen).withColumnsRenamed({"n0": "c0", "n1": "c1"})
-    number = F.shiftrightunsigned("word", 64 - WORD_BITS)
-    shared = everywhere.withColumnRenamed("word", "number")
-    known = first.join(second, "word", "full").join(shared, number == F.col("number"), "left")
+    known = first.join(second, "word", "full").join(everywhere, "word", "left")
     counts = {name: np.float32 for name in ("t0", "t1", "c0", "c1", "n")}
     words, *counted = _arrays(known.na.fill(0), {"word": np.int64, **counts})
     words = words.view(np.uint64)
@@ -233,17 +214,15 @@ def kneser_ney(train: DataFrame, everywhere: DataFrame) -> Model:
             for own, t, tilt, d in zip(n, totals, (tilt0, tilt1), own_discount):
                 back = d * -np.expm1(-t * share * tilt[at])
                 found.append(((np.maximum(own - d, 0) + back) / np.maximum(t, 1))[both])
-            key = _pair_keys(v, w)[both].tobytes()
-            ratio = (found[1] / found[0]).astype(np.float32).tobytes()
-            arrays = [pa.array([x]) for x in (int(both.sum()), key, ratio)]
-            yield pa.RecordBatch.from_arrays(arrays, ["size", "keys", "ratios"])
+            key = _pair_keys(v, w)[both].view(np.int64)
+            ratio = pa.array((found[1] / found[0]).astype(np.float32))
+            yield pa.RecordBatch.from_arrays([pa.array(key), ratio], ["key", "ratio"])
 
-    weighed = snapshot(
-        pairs.mapInArrow(weigh, "size long, keys binary, ratios binary"), "toxicity-ratios"
-    )
-    keys, ratios = _gathered(weighed)
+    keys, ratios = _arrays(pairs.mapInArrow(weigh, "key long, ratio float"), {"key": np.int64, "ratio": np.float32})
+    keys = keys.view(np.uint64)
+    order = np.argsort(keys)
     sent = {"words": words, "word_ratios": (p1 / p0).astype(np.float32),
-            "pairs": keys, "pair_ratios": ratios}
+            "pairs": keys[order], "pair_ratios": ratios[order]}
     return Model(context.broadcast(sent), unseen=float(rest[1] / rest[0]))
 
 

@@ -20,7 +20,7 @@ from guidepost.llm.quality_model import quality
 from guidepost.llm.quality_rules import BAD, GOOD, NONE, judge, posteriors
 from guidepost.llm.sql import ORACLES
 from guidepost.llm.textops import grams, words_of
-from guidepost.llm.toxicity import discount, toxicity, without_copies
+from guidepost.llm.toxicity import _word_counts, discount, toxicity, without_copies
 from tests.llm.fixtures import benchmark, docs
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -140,6 +140,13 @@ def test_discounts_are_absolute(once, twice):
     assert 0 < discount(once, twice) < 1
 
 
+def test_word_counts_grow_with_the_corpus(spark):
+    rows = [(" ".join(f"w{i}x{j}" for j in range(10_000)) + " again",) for i in range(20)]
+    counted = _word_counts(spark.createDataFrame(rows, "text string").repartition(4), "text")
+    assert counted.count() == 200_001
+    assert sorted({r["n"] for r in counted.select("n").distinct().collect()}) == [1, 20]
+
+
 def test_unlike_texts_are_no_copies(spark):
     rows = [(i, f"the same few words here {w}", 0) for i, w in enumerate("abcdefghijklmnop")]
     rows += [(20, "bad dog", 1), (21, "good", 0), (22, "Bad, dog!", 1), (23, "bad dog", 0)]
