@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from guidepost.llm.chunks import without_repeated_chunks
 from guidepost.llm.decontaminate import contamination
 from guidepost.llm.language import identify
+from guidepost.llm.manifest import verified_manifest
 from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
 from guidepost.llm.quality_model import quality
@@ -60,6 +61,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -73,5 +78,6 @@ QUERIES = {
         op8_language,
         op9_quality_model,
         op10_quality_rules,
+        op13_manifest,
     )
 }

@@ -48,4 +48,92 @@ SELECT doc_id, size, source_size, target,
 FROM sums
 """
 
-ORACLES = {"op5_mixing": MIXING}
+
+def crc32(text: str) -> str:
+    """SQL of the unsigned CRC-32 of an ASCII text, bit by bit."""
+    step = "list_reduce([xor(state, code), 0, 0, 0, 0, 0, 0, 0, 0],"
+    step += " lambda rest, bit: xor(rest >> 1, (rest & 1) * 3988292384))"
+    codes = f"list_transform(string_split({text}, ''), lambda letter: ord(letter)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda state, code: {step}), 4294967295)"
+
+
+def field(value: str) -> str:
+    text = f"({value})::VARCHAR"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def manifest_leaf(text: str) -> str:
+    values = ("doc_id", "source", "lang", "n_chars", text)
+    return f"sha256(concat({', '.join(map(field, values))}))"
+
+
+def _levels(name: str, levels: int) -> str:
+    """Common tables of the runs on each level above ``{name}_0`` (tree, index, digest, width)."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""{name}_run_{k} AS MATERIALIZED (
+    SELECT tree, index // 8 AS up, any_value(width) AS width,
+        list(digest ORDER BY index) AS run
+    FROM {name}_{k} WHERE width > 1 GROUP BY ALL
+), {name}_{k + 1} AS MATERIALIZED (
+    SELECT tree, up AS index, sha256(array_to_string(run, '')) AS digest, (width + 7) // 8 AS width
+    FROM {name}_run_{k}
+), """)
+    return "".join(parts)
+
+
+def _climb(name: str, source: str, kept: str, levels: int) -> str:
+    """Common tables that carry ``proof`` and ``node`` of ``source`` through all levels."""
+    parts = []
+    for k in range(levels):
+        below = source if k == 0 else f"{name}_up_{k - 1}"
+        slot = f"b.index // {8**k} % 8"
+        left = f"array_to_string(run[1:{slot}], '')"
+        right = f"array_to_string(run[{slot} + 2:], '')"
+        parts.append(f"""{name}_up_{k} AS MATERIALIZED (
+    SELECT {kept}, b.tree, b.index,
+        CASE WHEN run IS NULL THEN proof ELSE concat(proof, {left}, {right}) END AS proof,
+        CASE WHEN run IS NULL THEN node ELSE sha256(concat({left}, node, {right})) END AS node
+    FROM {below} b LEFT JOIN {name}_run_{k} r
+        ON r.tree = b.tree AND r.up = b.index // {8 ** (k + 1)}
+), """)
+    return "".join(parts)
+
+
+# So many levels of eight hold 16 million rows of a language, and 512 languages.
+ROW_LEVELS, LANG_LEVELS = 8, 3
+
+MANIFEST = f"""
+WITH leaves AS MATERIALIZED (
+    SELECT doc_id, lang, {manifest_leaf("text")} AS leaf,
+        CASE WHEN {crc32("doc_id::VARCHAR")} % 3 = 0
+            THEN {manifest_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+            ELSE {manifest_leaf("text")} END AS copy
+    FROM documents
+), langs AS (
+    SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS tree, count(*) AS width
+    FROM leaves GROUP BY lang
+), rows_0 AS MATERIALIZED (
+    SELECT doc_id, leaf, copy, tree, width, leaf AS digest,
+        row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS index
+    FROM leaves JOIN langs ON leaves.lang IS NOT DISTINCT FROM langs.lang
+), {_levels("rows", ROW_LEVELS)}subroots AS (
+    {" UNION ALL ".join(f"SELECT tree, digest FROM rows_{k} WHERE width = 1" for k in range(ROW_LEVELS + 1))}
+), langs_0 AS MATERIALIZED (
+    SELECT 0 AS tree, tree AS index, digest, (SELECT count(*) FROM subroots) AS width FROM subroots
+), {_levels("langs", LANG_LEVELS)}roots AS (
+    {" UNION ALL ".join(f"SELECT digest FROM langs_{k} WHERE width = 1" for k in range(LANG_LEVELS + 1))}
+), started AS (
+    SELECT doc_id, leaf, tree, index, '' AS proof, copy AS node FROM rows_0
+), {_climb("rows", "started", "doc_id, leaf", ROW_LEVELS)}crossed AS (
+    SELECT doc_id, leaf, subroots.digest AS subroot, 0 AS tree, tree AS index, proof, node
+    FROM rows_up_{ROW_LEVELS - 1} JOIN subroots USING (tree)
+), {_climb("langs", "crossed", "doc_id, leaf, subroot", LANG_LEVELS)}done AS (
+    SELECT * FROM langs_up_{LANG_LEVELS - 1}, roots
+)
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+    node = digest AS verified
+FROM done
+"""
+
+ORACLES = {"op5_mixing": MIXING, "op13_manifest": MANIFEST}

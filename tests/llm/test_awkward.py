@@ -7,6 +7,7 @@ import pytest
 from guidepost.llm.chunks import without_repeated_chunks
 from guidepost.llm.decontaminate import contamination, drop_contaminated
 from guidepost.llm.language import identify
+from guidepost.llm.manifest import verified_manifest
 from guidepost.llm.mixing import mix, mix_report
 from guidepost.llm.pii import find_personal_data, redact
 from guidepost.llm.quality_model import quality
@@ -31,6 +32,7 @@ REPORTS = {
     "language": identify,
     "quality": lambda df: quality(df, labels(df.sparkSession, LABELS)),
     "rules": judge,
+    "manifest": verified_manifest,
 }
 STAGES = {
     "toxicity": lambda df: drop_toxic(df, labels(df.sparkSession, LABELS)),
