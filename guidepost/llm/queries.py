@@ -10,6 +10,7 @@ from guidepost.llm.language import identify
 from guidepost.llm.manifest import verified_manifest
 from guidepost.llm.mixing import mix_report
 from guidepost.llm.pii import find_personal_data
+from guidepost.llm.prefix_trie import conversation_trie
 from guidepost.llm.quality_model import quality
 from guidepost.llm.quality_rules import judge
 from guidepost.llm.simhash import near_duplicates
@@ -61,6 +62,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES = {
         op8_language,
         op9_quality_model,
         op10_quality_rules,
+        op12_prefix_trie,
         op13_manifest,
     )
 }

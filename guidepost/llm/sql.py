@@ -136,4 +136,46 @@ SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, nod
 FROM done
 """
 
-ORACLES = {"op5_mixing": MIXING, "op13_manifest": MANIFEST}
+TRIE = f"""
+WITH items AS (
+    SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '')
+            || coalesce(text, '')) AS item,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({{'item': item, 'words': words}} ORDER BY turn NULLS FIRST, item) AS turns,
+        {crc32("conv_id::VARCHAR")} % 4 AS shared
+    FROM items GROUP BY conv_id
+), rebuilt AS MATERIALIZED (
+    SELECT o.conv_id, list_concat(list_slice(coalesce(b.turns, []), 1, o.shared),
+        list_slice(o.turns, o.shared + 1, len(o.turns))) AS turns
+    FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), paths AS MATERIALIZED (
+    SELECT conv_id, depth, depth = len(turns) AS ends,
+        CASE WHEN depth = 0 THEN 0 ELSE turns[depth].words END AS words,
+        sha256(array_to_string(list_transform(turns[1:depth], lambda x: x.item), '')) AS node,
+        CASE WHEN depth > 0 THEN
+            sha256(array_to_string(list_transform(turns[1:depth - 1], lambda x: x.item), '')) END AS up
+    FROM rebuilt, unnest(range(0, len(turns)::BIGINT + 1)) AS places(depth)
+), nodes AS MATERIALIZED (
+    SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * any_value(words) AS gain,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), ''))
+            AS ends_sha256
+    FROM paths GROUP BY depth, node
+), children AS (
+    SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM nodes GROUP BY ALL
+), totals AS (
+    SELECT p.depth, p.node, sum(v.gain)::BIGINT AS saved_tokens,
+        count(*) FILTER (NOT EXISTS (FROM children c WHERE c.depth = v.depth AND c.node = v.node))
+            AS n_leaves
+    FROM nodes v JOIN paths p ON p.conv_id = v.conv_id AND p.depth <= v.depth
+    GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals USING (depth, node) LEFT JOIN children USING (depth, node)
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.up
+"""
+
+ORACLES = {"op5_mixing": MIXING, "op12_prefix_trie": TRIE, "op13_manifest": MANIFEST}
