@@ -79,6 +79,16 @@ class Shared:
         return self._value
 
 
+class Kept(Shared):
+    """A shared value that a worker keeps from task to task, with what it has learned meanwhile."""
+
+    @property
+    def value(self) -> object:
+        if not hasattr(self._sent, "_kept"):
+            self._sent._kept = cloudpickle.loads(self._sent.value)
+        return self._sent._kept
+
+
 BLOCK_BYTES = 2 * 1024 * 1024
 
 

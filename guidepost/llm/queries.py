@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from guidepost.llm.bpe import load_vocabulary, token_digests
 from guidepost.llm.chunks import without_repeated_chunks
 from guidepost.llm.decontaminate import contamination
 from guidepost.llm.language import identify
@@ -62,6 +64,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = load_vocabulary(path, public_tokenizers.PATTERN)
+    return token_digests(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(table(spark, sf_dir, "conversations"))
 
@@ -83,6 +91,7 @@ QUERIES = {
         op8_language,
         op9_quality_model,
         op10_quality_rules,
+        op11_bpe,
         op12_prefix_trie,
         op13_manifest,
     )

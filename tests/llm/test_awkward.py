@@ -1,9 +1,12 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import functools
 import hashlib
 
+import public_tokenizers
 import pytest
 
+from guidepost.llm.bpe import load_vocabulary, token_digests
 from guidepost.llm.chunks import without_repeated_chunks
 from guidepost.llm.decontaminate import contamination, drop_contaminated
 from guidepost.llm.language import identify
@@ -21,6 +24,13 @@ LABELS = [(1, 1, 0), (1, 0, 0), (2, 1, 0), (3, 1, 0), (5, 1, 0), (6, 0, 1), (7,
 LABELS += [(None, 1, 1), (99, 1, 1)]
 ITEMS = [(1, "some words that are in no text at all"), (2, None), (3, ""), (None, "x y z")]
 
+
+@functools.cache
+def vocabulary():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return load_vocabulary(path, public_tokenizers.PATTERN)
+
+
 REPORTS = {
     "simhash": near_duplicates,
     "toxicity": lambda df: toxicity(df, labels(df.sparkSession, LABELS)),
@@ -32,6 +42,7 @@ REPORTS = {
     "language": identify,
     "quality": lambda df: quality(df, labels(df.sparkSession, LABELS)),
     "rules": judge,
+    "bpe": lambda df: token_digests(df, vocabulary()),
     "manifest": verified_manifest,
 }
 STAGES = {
