@@ -1,9 +1,11 @@
 """Merkle trees over a dataset, with a proof for each row, by sibling-shift self-joins.
 
-A tree's nodes have a level and an index. Of a run of ``arity`` nodes, the one in slot ``s`` has
-its siblings at the indices whose slots are ``s`` plus an offset, modulo the arity (for two: XOR
-1). Each level is joined with itself on these computed indices; every node so gets the digests
-of its run, and the nodes in slot zero emit the parents, which are the next level.
+A tree's nodes have a level and an index. Each level is joined with itself: the node in slot zero
+of a run of ``arity`` computes the indices of its siblings, which are its own plus an offset (for
+two: XOR 1), gets their digests by an equijoin, and emits the parent, a node of the next level.
+A run is stored once, for all its nodes; a node's slot follows from its index.
+
+Digests are 32 bytes in all tables and hexadecimal text where they are digested again.
 """
 
 from __future__ import annotations
@@ -37,93 +39,107 @@ def field(value: Column) -> Column:
     return F.coalesce(told, F.lit("-"))
 
 
-def _run(digests: Column) -> Column:
-    """The digests of a run, left to right, from (slot, digest) pairs in any order."""
-    return F.transform(F.array_sort(digests), lambda d: d["digest"])
+def as_text(digest_: Column) -> Column:
+    return F.lower(F.hex(digest_))
+
 
+def _joined(digests: Column) -> Column:
+    return F.concat_ws("", F.transform(digests, as_text))
 
-def level_with_runs(nodes: DataFrame, arity: int = ARITY) -> DataFrame:
-    """Nodes (tree, index, digest, width) with the digests of their run, in ``run``.
 
-    ``width`` is the number of nodes of the tree on this level. Each node joins the at most
-    ``arity`` indices of its run, so a row meets so many rows, whatever the size of a tree.
+def sibling_runs(nodes: DataFrame, arity: int = ARITY) -> DataFrame:
+    """The runs (tree, up, width, run) of nodes (tree, index, digest, width).
+
+    ``width`` is the number of nodes of the tree on this level, ``run`` the digests from left to
+    right, ``up`` the parent's index. A row meets at most ``arity`` others, whatever the size of a tree.
     """
-    run, slot = F.floor(F.col("index") / arity), F.col("index") % arity
-    offsets = F.sequence(F.lit(0), F.lit(arity - 1))
-    indices = F.transform(offsets, lambda offset: run * arity + (slot + offset) % arity)
-    asked = nodes.select("tree", "index", "width", F.explode(indices).alias("sibling"))
-    asked = asked.where("sibling < width")
+    offsets = F.sequence(F.lit(0).cast("long"), F.lit(arity - 1).cast("long"))
+    heads = nodes.where(F.col("index") % arity == 0)
+    asked = heads.select("tree", "index", "width", F.explode(offsets).alias("slot"))
+    asked = asked.withColumn("sibling", F.col("index") + F.col("slot")).where("sibling < width")
     told = nodes.select("tree", F.col("index").alias("sibling"), "digest")
-    pairs = asked.join(told, ["tree", "sibling"])
-    one = F.struct((F.col("sibling") % arity).cast("int").alias("slot"), "digest")
-    return pairs.groupBy("tree", "index").agg(
-        F.first("width").alias("width"), _run(F.collect_list(one)).alias("run")
+    digests = F.array_sort(F.collect_list(F.struct("slot", "digest")))
+    runs = asked.join(told, ["tree", "sibling"]).groupBy("tree", "index").agg(
+        F.first("width").alias("width"), F.transform(digests, lambda d: d["digest"]).alias("run")
     )
+    return runs.select("tree", F.floor(F.col("index") / arity).alias("up"), "width", "run")
 
 
-def parents(level: DataFrame, arity: int = ARITY) -> DataFrame:
-    """The next level of the trees that still have several nodes."""
-    return level.where(F.col("index") % arity == 0).select(
+def parents(runs: DataFrame, arity: int = ARITY) -> DataFrame:
+    """The nodes above the runs of a level."""
+    return runs.select(
         "tree",
-        F.floor(F.col("index") / arity).alias("index"),
-        F.sha2(F.concat_ws("", "run"), 256).alias("digest"),
+        F.col("up").alias("index"),
+        F.unhex(F.sha2(_joined(F.col("run")), 256)).alias("digest"),
         F.ceil(F.col("width") / arity).alias("width"),
     )
 
 
 def forest(leaves: DataFrame, purpose: str, arity: int = ARITY) -> tuple[DataFrame, DataFrame]:
-    """Proof paths of the leaves, and the roots, of trees (tree, index, digest, width).
+    """Runs on the way up, and the roots, of trees (tree, index, digest, width).
 
-    The first result has tree, index and ``path``: for each level from the leaf's up to the one
-    below the root, its slot in the run and the run's digests. The second has tree and digest. A
-    lone leaf is its tree's root and has an empty path. Every level is a stored table; there are
-    as many as the logarithm of the largest tree's width, to the base ``arity``.
+    The first result has, for each run of leaves, tree, up and ``runs``: its own digests and
+    those of the runs of its ancestors, up to the one below the root. The second has tree and digest. A lone
+    leaf is its tree's root and in no run. Every level is a stored table; there are as many
+    as the logarithm of the largest tree's width, to the base ``arity``.
     """
-    kind = "array<struct<slot:int,run:array<string>>>"
     nodes = leaves.select("tree", "index", "digest", "width")
     widest = nodes.agg(F.max("width")).first()[0] or 0
     levels, roots = [], nodes.where("width = 1")
     while widest > 1:
-        level = level_with_runs(nodes.where("width > 1"), arity)
-        levels.append(snapshot(level, f"{purpose}-level"))
-        nodes = snapshot(parents(levels[-1], arity), f"{purpose}-nodes")
+        runs = sibling_runs(nodes.where("width > 1"), arity)
+        levels.append(snapshot(runs, f"{purpose}-runs"))
+        nodes = parents(levels[-1], arity)
         roots = roots.union(nodes.where("width = 1"))
         widest = -(-widest // arity)
 
-    above = None
+    kind = "array<array<binary>>"
+    if not levels:
+        none = F.array().cast(kind).alias("runs")
+        empty = leaves.select("tree", F.col("index").alias("up"), none).limit(0)
+        return empty, roots.select("tree", "digest")
+    above: DataFrame | None = None
     for level in reversed(levels):
-        step = F.array(F.struct((F.col("index") % arity).cast("int").alias("slot"), "run"))
-        paths = level.select("tree", "index", step.cast(kind).alias("path"))
+        own = level.select("tree", "up", F.array("run").alias("runs"))
         if above is not None:
-            up = above.select("tree", F.col("index").alias("up"), F.col("path").alias("rest"))
-            joined = paths.withColumn("up", F.floor(F.col("index") / arity))
-            joined = joined.join(up, ["tree", "up"], "left")
+            rest = above.select("tree", F.col("up").alias("next"), F.col("runs").alias("rest"))
+            own = own.withColumn("next", F.floor(F.col("up") / arity))
+            own = own.join(rest, ["tree", "next"], "left")
             rest = F.coalesce("rest", F.array().cast(kind))  # null below a root
-            paths = joined.select("tree", "index", F.concat("path", rest).alias("path"))
-            paths = snapshot(paths, f"{purpose}-paths")
-        above = paths
-    lone = leaves.where("width = 1").select("tree", "index", F.array().cast(kind).alias("path"))
-    return lone if above is None else lone.union(above), roots.select("tree", "digest")
+            own = own.select("tree", "up", F.concat("runs", rest).alias("runs"))
+        above = snapshot(own, f"{purpose}-paths")
+    return above, roots.select("tree", "digest")
 
 
-def siblings(path: Column) -> Column:
-    """The digests of a path without the row's own, level by level, left to right, in one text."""
+def _path(runs: Column, index: Column, arity: int) -> Column:
+    """Slots and runs on the way up from a leaf; a lone leaf (null) has none."""
+
+    def step(run: Column, level: Column) -> Column:
+        slot = F.floor(index / F.pow(F.lit(arity), level)) % arity
+        return F.struct(slot.cast("int").alias("slot"), run.alias("run"))
+
+    kind = "array<struct<slot:int,run:array<binary>>>"
+    return F.coalesce(F.transform(runs, step).cast(kind), F.array().cast(kind))
 
-    def of_level(step: Column) -> Column:
-        left = F.slice(step["run"], F.lit(1), step["slot"])
-        right = F.slice(step["run"], step["slot"] + 2, F.size(step["run"]))
-        return F.concat(F.concat_ws("", left), F.concat_ws("", right))
 
-    return F.concat_ws("", F.transform(path, of_level))
+def _around(step: Column) -> tuple[Column, Column]:
+    """The digests left and right of a slot, as text."""
+    left = F.slice(step["run"], F.lit(1), step["slot"])
+    right = F.slice(step["run"], step["slot"] + 2, F.size(step["run"]))
+    return _joined(left), _joined(right)
+
+
+def siblings(path: Column) -> Column:
+    """The digests of a path without the row's own, level by level, left to right, in one text."""
+    return F.concat_ws("", F.transform(path, lambda step: F.concat(*_around(step))))
 
 
 def folded(leaf: Column, path: Column) -> Column:
-    """The root that a leaf's digest and its siblings give."""
+    """The root, as text, that a leaf's digest (as text) and its siblings give."""
 
     def up(below: Column, step: Column) -> Column:
-        left = F.slice(step["run"], F.lit(1), step["slot"])
-        right = F.slice(step["run"], step["slot"] + 2, F.size(step["run"]))
-        return digest(F.concat_ws("", left), below, F.concat_ws("", right))
+        left, right = _around(step)
+        return digest(left, below, right)
 
     return F.aggregate(path, leaf, up)
 
@@ -133,10 +149,11 @@ def manifest(
 ) -> DataFrame:
     """``rows`` with ``subroot``, ``root`` and ``path``, the proof of ``leaf`` up to the root.
 
-    Rows of a ``group`` are leaves of one tree, in the order of ``key`` (null first; equal keys by
-    their digest). The groups' roots, in the order of the groups (null first, bytewise), are the
-    leaves of the tree whose root is ``root``. If ``rows`` has columns of these names, the new ones
-    get an underscore. An empty table gives an empty result.
+    ``leaf`` is a digest of 32 bytes, as are the others. A path has for each level the slot in the run
+    and the run's digests. Rows of a ``group`` are leaves of one tree, in the order of ``key`` (null
+    first; equal keys by their digest). The groups' roots, in the order of the groups (null first, bytewise),
+    are the leaves of the tree whose root is ``root``. If ``rows`` has columns of these names, the
+    new ones get an underscore. An empty table gives an empty result.
     """
     inner = rows.select(
         F.struct(*[column(c) for c in rows.columns]).alias("row"),
@@ -152,33 +169,34 @@ def manifest(
         F.col("ordinal").alias("index"),
         F.col("size").alias("width"),
     )
-    placed = snapshot(placed, "manifest-leaves")
-    paths, subroots = forest(placed.drop("row"), "manifest", arity)
+    paths, subroots = forest(placed, "manifest", arity)
     # Trees are named by the place of their first row, so their order is that of the groups.
-    one_tree = subroots.withColumn("all", F.lit(0))
-    top = ordinals(one_tree, "all", [F.col("tree")], "manifest-subroots").select(
+    one_tree = snapshot(subroots, "manifest-subroots").withColumn("all", F.lit(0))
+    top = ordinals(one_tree, "all", [F.col("tree")], "manifest-trees").select(
         F.col("tree").alias("of"),
         F.col("first").alias("tree"),
         F.col("ordinal").alias("index"),
         F.col("size").alias("width"),
         "digest",
     )
-    top = snapshot(top, "manifest-subroots")
     top_paths, roots = forest(top, "manifest-top", arity)
-    ends = top.join(top_paths, ["tree", "index"]).join(
+    run = F.floor(F.col("index") / arity).alias("up")
+    ends = top.withColumn("up", run).join(top_paths, ["tree", "up"], "left").join(
         F.broadcast(roots.withColumnRenamed("digest", "root")), "tree"
     )
     ends = ends.select(
-        F.col("of").alias("tree"), F.col("digest").alias("subroot"), "root",
-        F.col("path").alias("above"),
-    )
-    ends = snapshot(ends, "manifest-ends")
-    found = placed.join(paths, ["tree", "index"]).join(broadcast_if_small(ends), "tree")
+        F.col("of").alias("tree"),
+        F.col("digest").alias("subroot"),
+        "root",
+        _path(F.col("runs"), F.col("index"), arity).alias("above"),
+    )
+    ends = broadcast_if_small(snapshot(ends, "manifest-ends"))
+    found = placed.withColumn("up", run).join(paths, ["tree", "up"], "left").join(ends, "tree")
     return found.select(
         "row.*",
         F.col("subroot").alias(fresh(rows, "subroot")),
         F.col("root").alias(fresh(rows, "root")),
-        F.concat("path", "above").alias(fresh(rows, "path")),
+        F.concat(_path(F.col("runs"), F.col("index"), arity), "above").alias(fresh(rows, "path")),
     )
 
 
@@ -211,17 +229,17 @@ def verified_manifest(
     rows = docs.select(
         column(doc_id).alias("key"),
         column(group).alias("group"),
-        leaf(column(text)).alias("leaf"),
-        F.when(changed, leaf(lowered)).alias("copy"),
+        F.unhex(leaf(column(text))).alias("leaf"),
+        F.when(changed, F.unhex(leaf(lowered))).alias("copy"),
     )
-    found = manifest(rows, "key", "group", "leaf", arity)
-    copy = F.coalesce("copy", "leaf")
+    # Stored, as sorting by range reads its input twice; that must not be the texts.
+    found = manifest(snapshot(rows, "manifest-digests"), "key", "group", "leaf", arity)
     found = found.select(
         F.col("key").alias(doc_id),
-        "leaf",
-        "subroot",
-        "root",
+        as_text(F.col("leaf")).alias("leaf"),
+        as_text(F.col("subroot")).alias("subroot"),
+        as_text(F.col("root")).alias("root"),
         F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
-        folded(copy, F.col("path")).alias("folded_root"),
+        folded(as_text(F.coalesce("copy", "leaf")), F.col("path")).alias("folded_root"),
     )
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -80,7 +80,7 @@ def test_one_row_is_its_own_root(spark):
 
 
 def test_manifest_keeps_all_columns(spark):
-    df = docs(spark).withColumn("leaf", F.md5("text")).na.fill("x", ["leaf"])
+    df = docs(spark).withColumn("leaf", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
     df = with_clashing_names(df).withColumn("tree", F.lit(1)).withColumn("root", F.lit(2))
     found = manifest(df, "doc_id", "lang")
     assert found.columns == [*df.columns, "subroot", "root_", "path"]
