@@ -36,7 +36,7 @@ from guidepost.llm.frames import Kept, blocks, fresh, id_and_bytes
 VOCABULARY_BYTES = 64 * 1024 * 1024
 PIECES_AT_ONCE = 1 << 16
 # What is known of pre-tokens is forgotten when they hold so many bytes.
-KNOWN_BYTES = 16 * 1024 * 1024
+KNOWN_BYTES = 12 * 1024 * 1024
 # Room that a pre-token takes besides its bytes, in units of them.
 PIECE_BYTES = 16
 # Beyond this many bytes the lists are arrays, which are slower and take a seventh of the room.
@@ -59,7 +59,7 @@ class RankQueue:
         self.early: dict[int, tuple[int, int]] = {}
         self.late: dict[int, list[int]] = {}
 
-    def _mark(self, rank: int) -> None:
+    def mark(self, rank: int) -> None:
         for words in self.levels:
             word, bit = rank >> WORD_BITS, 1 << (rank & 63)
             if words[word] & bit:
@@ -93,18 +93,9 @@ class RankQueue:
         ends = [*begin[1:].tolist(), len(order)]
         for rank, start, end in zip(found.tolist(), begin.tolist(), ends):
             self.early[rank] = (start, end)
-            self._mark(rank)
+            self.mark(rank)
         return order
 
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.late.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.late[rank] = [position]
-        if rank not in self.early:
-            self._mark(rank)
-
     def take(self, rank: int) -> tuple[int, int, list[int]]:
         """Empty a bucket: where its sorted stretch begins and ends, and its heap."""
         self._clear(rank)
@@ -116,7 +107,7 @@ class RankQueue:
         if late:
             self.late[rank] = late
         if start < end or late:
-            self._mark(rank)
+            self.mark(rank)
 
 
 def _listed(values: np.ndarray) -> list[int] | array:
@@ -138,36 +129,53 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.names = {rank: str(rank) for rank in self.tokens}
-        self.longest = max(map(len, ranks))
         self.pattern = regex.compile(pattern)
         self.singles = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.pairs = np.full(1 << 16, -1, np.int32)
         for token, rank in ranks.items():
             if len(token) == 2:
                 self.pairs[token[0] << 8 | token[1]] = rank
+        # The rank that two neighbouring parts have together, by both of their ranks.
+        self.shift = max(self.tokens).bit_length()
+        self.joins: dict[int, int] = {}
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    self.joins[left << self.shift | right] = rank
         self.unknown = unknown
         self.queue = RankQueue(max(self.tokens) + 1)
-        self.known: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Of pre-tokens met before: their ranks, in decimal, and the bytes they stand for. Texts and
+        bytes, as millions of small lists would keep the garbage collector busy."""
+        self.told: dict[str, str] = {}
+        self.content: dict[str, bytes] = {}
         self.held = 0
 
-    def pieces(self, text: str) -> Iterator[str]:
-        """The pre-tokens of a text, in order."""
-        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        strange = np.flatnonzero(self.unknown[codes])
-        if not len(strange):
-            if len(text) <= PIECES_AT_ONCE:
-                yield from self.pattern.findall(text)
-            else:
-                yield from (match.group() for match in self.pattern.finditer(text))
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text, in order, some ten thousand at a time."""
+        cut = text
+        if not text.isascii():
+            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            strange = np.flatnonzero(self.unknown[codes])
+            if len(strange):
+                codes = codes.copy()
+                codes[strange] = ord(STAND_IN)
+                cut = codes.tobytes().decode("utf-32-le")
+        if cut is text and len(text) <= PIECES_AT_ONCE:
+            yield self.pattern.findall(text)
             return
-        codes = codes.copy()
-        codes[strange] = ord(STAND_IN)
-        for match in self.pattern.finditer(codes.tobytes().decode("utf-32-le")):
-            yield text[match.start() : match.end()]
-
-    def merged(self, pieces: list[bytes]) -> list[list[int]]:
-        """For each pre-token the ranks of the parts that are left when no pair can be merged."""
-        ranks, queue, longest = self.ranks, self.queue, self.longest
+        places = (match.span() for match in self.pattern.finditer(cut))
+        while block := [text[a:b] for a, b in islice(places, PIECES_AT_ONCE)]:
+            yield block
+
+    def merged(self, pieces: list[bytes]) -> tuple[list[int], list[int]]:
+        """The ranks of the parts of all pre-tokens that are left when no pair can be merged, and
+        where each pre-token's begin, with one more entry at the end."""
+        queue, joins, shift = self.queue, self.joins, self.shift
+        buckets, early, mark = queue.late, queue.early, queue.mark
         text = b"".join(pieces)
         size = len(text)
         borders = np.cumsum([0, *map(len, pieces)])
@@ -204,64 +212,78 @@ class Vocabulary:
                 new = -1
                 if not first[until]:
                     before[until] = at
-                    if after[until] - at <= longest:
-                        new = ranks.get(text[at : after[until]], -1)
+                    new = joins.get(lowest << shift | own[until], -1)
                 pair[at] = new
-                if new >= 0:
-                    queue.push(new, at)
-                    lower = new < lowest
                 left = before[at]
-                if left >= 0:
-                    new = ranks.get(text[left:until], -1) if until - left <= longest else -1
-                    pair[left] = new
-                    if new >= 0:
-                        queue.push(new, left)
-                        lower = lower or new < lowest
+                for place in (at, left):
+                    if place != at:
+                        if left < 0:
+                            break
+                        new = pair[left] = joins.get(own[left] << shift | lowest, -1)
+                    if new < 0:
+                        continue
+                    if new < lowest:
+                        lower = True
+                    bucket = buckets.get(new)
+                    if bucket is not None:
+                        heappush(bucket, place)
+                    else:
+                        buckets[new] = [place]
+                        if new not in early:
+                            mark(new)
             queue.put_back(lowest, start, end, late)
         left_over = np.array(own, np.int32)
         alive = left_over >= 0
         cuts = np.concatenate([[0], np.cumsum(alive)])[borders].tolist()
         parts = left_over[alive].tolist()
-        return [parts[a:b] for a, b in zip(cuts, cuts[1:])]
+        return parts, cuts
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        """Have all these pre-tokens in ``known``."""
+        """Know all these pre-tokens."""
         if self.held > KNOWN_BYTES:
-            self.known, self.held = {}, 0
-        fresh_ = []
-        for piece in set(pieces).difference(self.known):
-            data = piece.encode()
+            self._forget()
+        new = [(piece, piece.encode()) for piece in set(pieces).difference(self.told)]
+        parted = [(piece, data) for piece, data in new if data not in self.ranks]
+        for piece, data in new:
+            rank = self.ranks.get(data)
+            if rank is not None:
+                self.told[piece], self.content[piece] = self.names[rank], self.tokens[rank]
             self.held += len(data) + PIECE_BYTES
-            whole = self.ranks.get(data)
-            if whole is None:
-                fresh_.append((piece, data))
-            else:
-                self.known[piece] = [whole]
-        if fresh_:
-            names, data = zip(*fresh_)
-            self.known.update(zip(names, self.merged(data)))
-
-    def encoded(self, texts: Iterable[str]) -> Iterator[tuple[int, list[int]]]:
-        """Token ids of texts as (number of the text, next ids of it), in order; some ten thousand
-        pre-tokens at a time, so a text may come in several parts, and one without any in none."""
-
-        def parts() -> Iterator[tuple[int, list[int]]]:
-            self._learn(chain.from_iterable(block for _, block in held))
-            known = self.known
-            for number, block in held:
-                yield number, list(chain.from_iterable(map(known.__getitem__, block)))
-
+        if parted:
+            parts, cuts = self.merged([data for _, data in parted])
+            names = list(map(self.names.__getitem__, parts))
+            tokens = list(map(self.tokens.__getitem__, parts))
+            for (piece, _), a, b in zip(parted, cuts, cuts[1:]):
+                self.told[piece], self.content[piece] = ",".join(names[a:b]), b"".join(tokens[a:b])
+
+    def _known_blocks(self, texts: Iterable[str]) -> Iterator[tuple[int, list[str]]]:
+        """Pre-tokens of texts as (number of the text, next ones of it), in order, once they are
+        known. A text may come in several parts, and one without any in none."""
         held: list[tuple[int, list[str]]] = []
         count = 0
         for number, text in enumerate(texts):
-            pieces = self.pieces(text)
-            while block := list(islice(pieces, PIECES_AT_ONCE)):
+            for block in self.pieces(text):
                 held.append((number, block))
                 count += len(block)
                 if count >= PIECES_AT_ONCE:
-                    yield from parts()
+                    self._learn(chain.from_iterable(block for _, block in held))
+                    yield from held
                     held, count = [], 0
-        yield from parts()
+        self._learn(chain.from_iterable(block for _, block in held))
+        yield from held
+
+    def encoded(self, texts: Iterable[str]) -> Iterator[tuple[int, list[int]]]:
+        """Token ids of texts as (number of the text, next ids of it)."""
+        for number, block in self._known_blocks(texts):
+            told = ",".join(map(self.told.__getitem__, block))
+            yield number, list(map(int, told.split(","))) if told else []
+
+    def round_trips(self, texts: Iterable[str]) -> Iterator[tuple[int, str, bytes]]:
+        """As ``encoded``; the ids in decimal with commas between, and the bytes they stand for."""
+        for number, block in self._known_blocks(texts):
+            if block:
+                told = ",".join(map(self.told.__getitem__, block))
+                yield number, told, b"".join(map(self.content.__getitem__, block))
 
     def decoded(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -325,11 +347,10 @@ def token_digests(
         for ids, texts in blocks(batches):
             counts = [0] * len(ids)
             names, contents = ([hashlib.sha256() for _ in ids] for _ in range(2))
-            for i, tokens in words.encoded(map(_as_text, texts)):
-                told = ",".join(map(words.names.__getitem__, tokens))
+            for i, told, content in words.round_trips(map(_as_text, texts)):
                 names[i].update(f",{told}".encode() if counts[i] else told.encode())
-                counts[i] += len(tokens)
-                contents[i].update(words.decoded(tokens))
+                counts[i] += told.count(",") + 1
+                contents[i].update(content)
             hexes = ([h.hexdigest() for h in column_] for column_ in (names, contents))
             arrays = [pa.array(x, f.type) for x, f in zip((ids, counts, *hexes), schema)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
