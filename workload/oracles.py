@@ -60,6 +60,18 @@ SELECT l_orderkey * 10 + l_linenumber AS extraction_id,
 FROM lineitem
 """
 
+_READ = """
+SELECT CAST(n_nationkey AS INTEGER) AS extraction_id,
+       event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
+       CASE WHEN event_type = 'purchase' THEN event_id * 10 END AS amount
+FROM events
+JOIN nation
+  ON event_type = ['click', 'error', 'purchase', 'signup', 'view'][n_nationkey % 5 + 1]
+ AND CAST(ts AS DATE) BETWEEN DATE '2024-01-01' + CAST(n_nationkey AS INTEGER)
+                          AND DATE '2024-01-01' + CAST(n_nationkey + 2 AS INTEGER)
+JOIN region ON r_regionkey = n_regionkey
+"""
+
 ORACLES = {
     "resolve_paths_window": _PATHS + "WHERE partition_time BETWEEN delta_start AND delta_end",
     "resolve_paths_flag": _PATHS + "WHERE delta_flag = 1",
@@ -245,15 +257,6 @@ FROM orders
     "table_round_trip": """
 SELECT *, lpad(CAST(o_custkey % 12 AS VARCHAR), 2, '0') AS part FROM orders
 """,
-    "read_resolved": """
-SELECT CAST(n_nationkey AS INTEGER) AS extraction_id,
-       event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day,
-       CASE WHEN event_type = 'purchase' THEN event_id * 10 END AS amount
-FROM events
-JOIN nation
-  ON event_type = ['click', 'error', 'purchase', 'signup', 'view'][n_nationkey % 5 + 1]
- AND CAST(ts AS DATE) BETWEEN DATE '2024-01-01' + CAST(n_nationkey AS INTEGER)
-                          AND DATE '2024-01-01' + CAST(n_nationkey + 2 AS INTEGER)
-JOIN region ON r_regionkey = n_regionkey
-""",
+    "read_resolved": _READ,
+    "read_resolved_by_key": _READ,
 }

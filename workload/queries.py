@@ -253,8 +253,8 @@ def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(orders.schema).parquet(path)
 
 
-def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written as a lake, resolved through its index, and read back by extraction.
+def _event_lake(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Events written as a lake, and its directories resolved through its index.
 
     The nations are extractions: each reads one event type over three days. The directories of one
     type, which is not the first by name, have a column that the others lack.
@@ -298,7 +298,10 @@ def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     targets = roles.region_targets(spark, sf_dir)
     paths = ops.resolve_paths(targets, extractions, index, theme="usage", mode="window")
-    found = ops.read_resolved(spark, paths, root=lake, options={"basePath": lake})
+    return lake, paths
+
+
+def _as_read(found: DataFrame) -> DataFrame:
     return found.select(
         "extraction_id",
         "event_id",
@@ -309,6 +312,18 @@ def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directories of the event lake read back by name, each row with its extraction."""
+    lake, paths = _event_lake(spark, sf_dir)
+    return _as_read(ops.read_resolved(spark, paths, root=lake, options={"basePath": lake}))
+
+
+def read_resolved_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event lake read at its root, its partitions joined with the resolved keys."""
+    lake, paths = _event_lake(spark, sf_dir)
+    keys = ["event_type", "day"]
+    return _as_read(ops.read_resolved(spark, paths, root=lake, partition_columns=keys))
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -335,5 +350,6 @@ QUERIES = {
         catalog_row_counts,
         table_round_trip,
         read_resolved,
+        read_resolved_by_key,
     )
 }
