@@ -282,6 +282,54 @@ def test_quality_of_no_rows_and_no_rules(spark):
     assert none.columns == found.columns and none.count() == 0
 
 
+def seen_rows(spark, values, kinds):
+    """A table and a counter of the rows that Spark has read of it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(row):
+        seen.add(1)
+        return row
+
+    rdd = spark.sparkContext.parallelize(values, 2).map(told)
+    return spark.createDataFrame(rdd, kinds), seen
+
+
+def test_bad_formulas_cost_no_further_scan(spark):
+    data, seen = seen_rows(spark, [(i, i % 3, str(i)) for i in range(30)], "a int, z int, t string")
+    bad = {
+        "a / z > 1": "DIVIDE_BY_ZERO",
+        "1 + a / z > 1": "DIVIDE_BY_ZERO",
+        "CAST(concat('x', t) AS int) > 1": "CAST_INVALID_INPUT",
+        "a * 1000000000 > 0": "ARITHMETIC_OVERFLOW",
+        "element_at(array(1, 2), z + 1) > 0": "INVALID_ARRAY_INDEX_IN_ELEMENT_AT",
+    }
+    good = [f"a + {i} > 10 AND z + a / (z + 1) >= 0" for i in range(40)]
+    listed = [*bad, *good, "a > z / (z + 1)", "z IS NULL"]
+    found = ops.evaluate_quality(data, rules(spark, [(f, None, None) for f in listed]), "2024-01-01")
+    got = {r["formula"]: (r["rows_checked"], r["rows_failed"], r["error"]) for r in found.collect()}
+    assert {f: got[f] for f in bad} == {f: (None, None, error) for f, error in bad.items()}
+    for i, formula in enumerate(good):
+        assert got[formula] == (30, max(0, 11 - i), None)
+    assert got["z IS NULL"] == (30, 30, None)
+    assert seen.value == 30
+
+
+def test_counters_are_added_batch_by_batch(spark, monkeypatch):
+    data = spark.range(5).selectExpr("CAST(id AS int) AS a")
+    batches = []
+    real = quality._counts
+    monkeypatch.setattr(quality, "_counts", lambda df, f: batches.append(len(f)) or real(df, f))
+    listed = [f"a < {i}" for i in range(11)] + ["a / (a - 2) > 0", "no_such > 1"]
+    found = ops.evaluate_quality(
+        data, rules(spark, [(f, None, None) for f in listed]), "2024-01-01", 4
+    )
+    got = {r["formula"]: (r["rows_failed"], r["error"]) for r in found.collect()}
+    assert max(batches) <= 4 and sum(batches) == 12
+    assert {got[f"a < {i}"] for i in range(11)} == {(max(0, 5 - i), None) for i in range(11)}
+    assert got["a / (a - 2) > 0"] == (None, "DIVIDE_BY_ZERO")
+    assert got["no_such > 1"][1].startswith("UNRESOLVED_COLUMN")
+
+
 def test_quality_counts_many_formulas_in_one_scan(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     formulas = [f"l_quantity > {i}" for i in range(60)]
