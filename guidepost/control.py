@@ -13,6 +13,9 @@ from guidepost.sources import (
     JdbcSource,
     ParquetSource,
     load_catalog,
+    new_scratch_path,
+    open_catalog,
+    store_catalog,
 )
 
 
@@ -42,6 +45,17 @@ class ControlTables:
         tables = CONTROL_TABLES | dict(more_tables or {})
         return cls(load_catalog(spark, sources, tables, SOURCE_NAMES | dict(more_names or {})))
 
+    def stored(self, path: str | None = None) -> ControlTables:
+        """These tables as they are now, stored below ``path`` (or as intermediate tables): however
+        the sources change, all lookups of the result agree. ``open`` gets them back."""
+        spark = next(iter(self.tables.values())).sparkSession
+        return ControlTables(store_catalog(self.tables, path or new_scratch_path(spark, "catalog")))
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> ControlTables:
+        """The tables that ``stored`` left below ``path``."""
+        return cls(open_catalog(spark, path))
+
     def __getitem__(self, role: str) -> DataFrame:
         return self.tables[role]
 

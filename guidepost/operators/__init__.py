@@ -1,6 +1,6 @@
 """The operators: plain functions from DataFrames to a DataFrame."""
 
-from guidepost.operators.deltas import advance_deltas
+from guidepost.operators.deltas import advance_deltas, advance_published, publish_windows
 from guidepost.operators.lake import read_resolved
 from guidepost.operators.lookups import (
     column_mapping,
@@ -27,6 +27,7 @@ from guidepost.operators.templates import render_templates
 __all__ = [
     "absent_columns",
     "advance_deltas",
+    "advance_published",
     "apply_column_mapping",
     "column_mapping",
     "comparison_info",
@@ -36,6 +37,7 @@ __all__ = [
     "evaluate_quality",
     "extraction_windows",
     "extractions_for_target",
+    "publish_windows",
     "quality_criteria",
     "read_resolved",
     "regulatory_calendar",

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,21 +35,26 @@ def _mapped_columns(
     rows = mapping.select(
         "source_name", source.alias("spelling"), "dest_name", "data_type"
     ).distinct()
-    is_known = F.col("spelling").isin(list(positions))
-    if absent == "error":
-        missing = rows.where(~F.coalesce(is_known, F.lit(False))).select("source_name")
-        names = sorted(str(r["source_name"]) for r in missing.distinct().take(20))
-        if names:
-            raise ValueError(f"mapped columns are not in the data: {names}")
-    by_dest = rows.where(is_known).groupBy("dest_name")
-    unlike = by_dest.agg(F.count_distinct("data_type").alias("n")).where("n > 1")
-    names = sorted(r["dest_name"] for r in unlike.take(20))
+    is_known = F.coalesce(F.col("spelling").isin(list(positions)), F.lit(False))
+    # A row for each column of the result, and for those that have no source at all.
+    found = (
+        rows.groupBy("dest_name")
+        .agg(
+            F.collect_set(F.when(is_known, F.col("spelling"))).alias("sources"),
+            F.count_distinct(F.when(is_known, F.col("data_type"))).alias("types"),
+            F.min(F.when(is_known, F.col("data_type"))).alias("data_type"),
+            F.count_if(~is_known).alias("absent"),
+            F.min(F.when(~is_known, F.coalesce("source_name", F.lit("None")))).alias("example"),
+        )
+        .where((F.size("sources") > 0) | F.lit(absent == "error"))
+        .collect()
+    )
+    names = sorted(row["example"] for row in found if row["absent"])[:20]
+    if names and absent == "error":
+        raise ValueError(f"mapped columns are not in the data: {names}")
+    names = sorted(row["dest_name"] for row in found if row["types"] > 1)[:20]
     if names:
         raise ValueError(f"several types for one destination column: {names}")
-    # A row for each column of the result.
-    found = by_dest.agg(
-        F.collect_set("spelling").alias("sources"), F.first("data_type").alias("data_type")
-    ).collect()
     spelling = types or {}
     mapped = []
     for row in found:
@@ -72,11 +77,21 @@ def absent_columns(df: DataFrame, mapping: DataFrame) -> DataFrame:
     return mapping.where(~source.isin(known)).select("source_name").distinct()
 
 
+def _is_lost(df: DataFrame, sources: list[str], data_type: str) -> Column:
+    """Whether one of a column's sources has a value that does not fit."""
+    lost = [
+        column(source).isNotNull() & cast_or_null(df, source, data_type).isNull()
+        for source in sources
+    ]
+    return reduce(Column.__or__, lost)
+
+
 def apply_column_mapping(
     df: DataFrame,
     mapping: DataFrame,
     types: Mapping[str, str] | None = None,
     absent: str = "error",
+    bad_casts: Observation | None = None,
 ) -> DataFrame:
     """``df`` with the mapped columns only, renamed and cast, in the order of ``df``.
 
@@ -88,12 +103,22 @@ def apply_column_mapping(
 
     ``types`` translates type names of the control tables to Spark's, e.g.
     ``{"datetime": "timestamp"}``. Only the mapping is read here; the data needs no shuffle.
+
+    ``bad_casts`` counts what ``count_bad_casts`` counts in the pass that first uses the result, e.g.
+    writes it; afterwards ``bad_casts.get`` has the counts by destination column. An
+    observation serves one result.
     """
-    return df.select(
-        *[
-            _first_value(df, sources, data_type).alias(dest)
-            for sources, dest, data_type in _mapped_columns(df, mapping, types, absent)
-        ]
+    mapped = _mapped_columns(df, mapping, types, absent)
+    seen = df
+    if bad_casts is not None:
+        if not mapped:
+            raise ValueError("no column is mapped, so there are no casts to observe")
+        seen = df.observe(
+            bad_casts,
+            *[F.count_if(_is_lost(df, sources, kind)).alias(dest) for sources, dest, kind in mapped],
+        )
+    return seen.select(
+        *[_first_value(df, sources, kind).alias(dest) for sources, dest, kind in mapped]
     )
 
 
@@ -109,16 +134,9 @@ def count_bad_casts(
     """
     mapped = _mapped_columns(df, mapping, types, absent)
 
-    def is_lost(sources: list[str], data_type: str) -> Column:
-        lost = [
-            column(source).isNotNull() & cast_or_null(df, source, data_type).isNull()
-            for source in sources
-        ]
-        return reduce(Column.__or__, lost)
-
     counts = df.agg(
         *[
-            F.count_if(is_lost(sources, data_type)).alias(f"lost_{i}")
+            F.count_if(_is_lost(df, sources, data_type)).alias(f"lost_{i}")
             for i, (sources, _, data_type) in enumerate(mapped)
         ]
     )

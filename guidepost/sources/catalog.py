@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from guidepost.sources.tables import JdbcSource, ParquetSource, read_table
+from guidepost.sources.tables import JdbcSource, ParquetSource, read_table, write_table
 
 
 @dataclass(frozen=True)
@@ -106,6 +109,43 @@ def load_catalog(
     }
 
 
+MANIFEST = "manifest"
+STORED_AT_ONCE = 8
+
+
+def store_catalog(tables: Mapping[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """The tables as they are now, stored below ``path``: one state for all lookups.
+
+    They are written several at a time, so the state of a database is that of a short while; the manifest
+    with each table's columns is written last, so a state without one is not complete.
+    """
+    if not tables:
+        raise ValueError("there are no tables to store")
+    spark = next(iter(tables.values())).sparkSession
+
+    def store(role: str) -> tuple[str, str]:
+        write_table(tables[role], f"{path}/{role}")
+        return role, tables[role].schema.json()
+
+    with ThreadPoolExecutor(STORED_AT_ONCE) as pool:
+        stored = list(pool.map(store, sorted(tables)))
+    # A row for each control table.
+    manifest = spark.createDataFrame(stored, "role string, columns string").coalesce(1)
+    write_table(manifest, f"{path}/{MANIFEST}")
+    return open_catalog(spark, path)
+
+
+def open_catalog(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables that ``store_catalog`` stored below ``path``."""
+    manifest = spark.read.schema("role string, columns string").parquet(f"{path}/{MANIFEST}")
+    return {
+        row["role"]: spark.read.schema(T.StructType.fromJson(json.loads(row["columns"]))).parquet(
+            f"{path}/{row['role']}"
+        )
+        for row in manifest.collect()
+    }
+
+
 def to_source_names(df: DataFrame) -> DataFrame:
     """A result under the column names of the control databases."""
     originals: dict[str, str] = {}

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,43 @@ class Split:
         return [f"CASE {cases} ELSE 0 END = {i}" for i in range(len(self.predicates) + 1)]
 
 
+@dataclass(frozen=True)
+class QuantileSplit:
+    """How a JDBC table is read in parallel, by ranges of ``column`` with equally many rows.
+
+    The database itself finds the bounds, so keys may bunch up as they like; only a single value is
+    never cut. Rows without a value are a range of their own. The column holds whole numbers, texts,
+    dates or timestamps; texts have to be ordered in the database as their comparison says.
+    """
+
+    column: str
+    partitions: int
+
+    def bounds_query(self, table: str, name: str) -> str:
+        """SQL that gives the least value of each of ``partitions`` equal parts."""
+        tiles = f"SELECT {name} AS k, NTILE({self.partitions}) OVER (ORDER BY {name}) AS part"
+        inner = f"{tiles} FROM {table} WHERE {name} IS NOT NULL"
+        return f"(SELECT part, MIN(k) AS bound FROM ({inner}) tiles GROUP BY part) bounds"
+
+    def conditions(self, name: str, bounds: Sequence[object]) -> list[str]:
+        """One condition for each range; together they hold each row exactly once."""
+        cuts = sorted({b for b in bounds if b is not None})[1:]
+        texts = [_literal(cut) for cut in cuts]
+        if not texts:
+            return [f"{name} IS NOT NULL", f"{name} IS NULL"]
+        middle = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(texts, texts[1:])]
+        return [f"{name} < {texts[0]}", *middle, f"{name} >= {texts[-1]}", f"{name} IS NULL"]
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, (int, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, (str, dt.date)):
+        text = value if isinstance(value, str) else value.isoformat()
+        return "'" + text.replace("'", "''") + "'"
+    raise ValueError(f"a split column cannot hold {type(value).__name__} values")
+
+
 @dataclass(frozen=True)
 class ParquetSource:
     """Tables as parquet directories or files below ``root``."""
@@ -64,14 +103,15 @@ class JdbcSource:
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict, repr=False)
-    splits: Mapping[str, Split] = field(default_factory=dict)
+    splits: Mapping[str, Split | QuantileSplit] = field(default_factory=dict)
     quotes: str = "[]"
 
-    def qualified_name(self, table: str, schema: str) -> str:
+    def quoted(self, name: str) -> str:
         opening, closing = self.quotes
-        return ".".join(
-            opening + part.replace(closing, closing * 2) + closing for part in (schema, table)
-        )
+        return opening + name.replace(closing, closing * 2) + closing
+
+    def qualified_name(self, table: str, schema: str) -> str:
+        return f"{self.quoted(schema)}.{self.quoted(table)}"
 
     def read(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
         name = self.qualified_name(table, schema)
@@ -79,6 +119,13 @@ class JdbcSource:
         split = self.splits.get(table)
         if split is None:
             return spark.read.jdbc(self.url, name, properties=properties)
+        if isinstance(split, QuantileSplit):
+            key = self.quoted(split.column)
+            query = split.bounds_query(name, key)
+            # A row for each partition.
+            found = spark.read.jdbc(self.url, query, properties=properties).collect()
+            conditions = split.conditions(key, [row["bound"] for row in found])
+            return spark.read.jdbc(self.url, name, predicates=conditions, properties=properties)
         if split.predicates:
             return spark.read.jdbc(
                 self.url, name, predicates=split.conditions(), properties=properties
@@ -95,7 +142,7 @@ class JdbcSource:
 
 
 def sql_server_source(
-    connection: str, splits: Mapping[str, Split] | None = None
+    connection: str, splits: Mapping[str, Split | QuantileSplit] | None = None
 ) -> JdbcSource:
     """A SQL Server database from ``Server=..;Database=..;User Id=..;Password=..;``."""
     pairs = [part.partition("=") for part in connection.split(";") if "=" in part]

@@ -5,6 +5,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from guidepost import operators as ops
@@ -45,6 +46,22 @@ def test_column_mapping_renames_casts_and_drops_the_rest(spark):
     )
 
 
+def test_bad_casts_are_counted_while_writing(spark, tmp_path):
+    values = [(str(i) if i % 3 else f"x{i}", None if i % 5 else "1.x") for i in range(60)]
+    data, seen = seen_rows(spark, values, "a string, b string")
+    entries = [("a", "n", "int"), ("b", "amount", "decimal(9,2)"), ("a", "text", "string")]
+    mapping = spark.createDataFrame(entries, MAPPING)
+    observed = Observation()
+    found = ops.apply_column_mapping(data, mapping, bad_casts=observed)
+    found.write.parquet(f"{tmp_path}/t")
+    assert seen.value == 60
+    assert observed.get == {"n": 20, "amount": 12, "text": 0}
+    counted = {r["dest_name"]: r["bad_casts"] for r in ops.count_bad_casts(data, mapping).collect()}
+    assert counted == observed.get
+    with pytest.raises(ValueError, match="no column"):
+        ops.apply_column_mapping(data, mapping.where("false"), bad_casts=Observation())
+
+
 def test_whole_number_pattern_agrees_with_the_cast(spark):
     texts = ["1", " 2\t", "+3", "-4\n", "5.0", "6e1", "", " ", "+", "- 7", "x8", "9 9", None]
     texts += ["٣", "\x001", "2147483648", "-99999999999999999999", "0x10", "1L", "１", "\x7f7"]

@@ -239,6 +239,9 @@ LEFT JOIN tokens b ON b.token = token_2
     "advance_deltas": _ADVANCE.format(
         moved="l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"
     ),
+    "advance_published": _ADVANCE.format(
+        moved="l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"
+    ),
     "advance_deltas_by_extraction": _ADVANCE.format(
         moved="l_orderkey * 10 + l_linenumber IN"
         " (SELECT l_orderkey * 10 + l_linenumber FROM lineitem WHERE l_returnflag = 'R')"
@@ -254,6 +257,9 @@ FROM orders
     "catalog_row_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
     ),
+    "stored_catalog_row_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TABLES
+    ),
     "table_round_trip": """
 SELECT *, lpad(CAST(o_custkey % 12 AS VARCHAR), 2, '0') AS part FROM orders
 """,

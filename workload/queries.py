@@ -13,6 +13,8 @@ from guidepost.sources import (
     ParquetSource,
     load_catalog,
     new_scratch_path,
+    read_version,
+    store_catalog,
     write_table,
 )
 from workload import roles
@@ -203,6 +205,17 @@ def advance_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def advance_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of a published table, moved by a run that is first cut short, then repeated twice."""
+    root = new_scratch_path(spark, "published")
+    ops.publish_windows(spark, root, roles.line_extractions(spark, sf_dir))
+    ids = roles.order_targets(spark, sf_dir).where(F.col("target_name") == TARGET)
+    some = ids.where(F.col("target_id") % 2 == 0)
+    for part in (some, ids, ids):
+        ops.advance_published(spark, root, "a run", part.select("target_id"), "target_id")
+    return read_version(spark, root)
+
+
 def advance_deltas_by_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     extractions = roles.line_extractions(spark, sf_dir)
     read = roles.table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
@@ -229,6 +242,10 @@ def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         {name: ControlTable(name) for name in TABLES},
         names={},
     )
+    return _row_counts(spark, catalog)
+
+
+def _row_counts(spark: SparkSession, catalog: dict[str, DataFrame]) -> DataFrame:
     # An empty table still has its row of zero.
     none = spark.createDataFrame(
         [(name, 0) for name in TABLES], "table_name string, row_count bigint"
@@ -244,6 +261,13 @@ def catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_catalog_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts of one stored state of all tables."""
+    entries = {name: ControlTable(name) for name in TABLES}
+    catalog = load_catalog(spark, {"settings": ParquetSource(sf_dir)}, entries, names={})
+    return _row_counts(spark, store_catalog(catalog, new_scratch_path(spark, "catalog")))
+
+
 def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as a table of directories with names such as 01, and read again."""
     part = F.lpad((F.col("o_custkey") % 12).cast("string"), 2, "0")
@@ -345,9 +369,11 @@ QUERIES = {
         standardize_values,
         render_templates,
         advance_deltas,
+        advance_published,
         advance_deltas_by_extraction,
         advance_target_deltas,
         catalog_row_counts,
+        stored_catalog_row_counts,
         table_round_trip,
         read_resolved,
         read_resolved_by_key,
