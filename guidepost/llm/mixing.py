@@ -119,6 +119,7 @@ def cut_points(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     with_last = F.abs(F.col("below") + F.col("inside") - F.col("budget"))
     without_last = F.abs(F.col("below") - F.col("budget"))
     cut = F.when(with_last < without_last, F.col("prefix")).otherwise(F.col("prefix") - 1)
+    cut = F.when(F.col("budget") > 0, cut).otherwise(-1)  # nor are texts without words taken again
     return found.select("source", "source_size", "target", "whole", cut.alias("cut"))
 
 
@@ -159,11 +160,12 @@ def _with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
 def mix_report(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options
 ) -> DataFrame:
-    """What the mix takes of each document: id, size, source_size, target, copies, taken.
+    """What the mix takes of each document: id, size, source_size, target, taken, copies.
 
     Sizes are words. A null text has none; a null source is a source of its own. Repeated rows
     (same id and text) have the same point and are taken or left together. An empty table gives
-    an empty result. Other columns are not looked at. ``options`` are those of ``mixing_plan``.
+    an empty result. No row is taken more often than ``max_copies``. Other columns are not looked at. ``options``
+    are those of ``mixing_plan``.
     """
     sizes = snapshot(_sizes(docs, doc_id, text, source), "mixing-sizes")
     return _with_copies(sizes, mixing_plan(sizes, **options)).select(
@@ -171,8 +173,8 @@ def mix_report(
         "size",
         "source_size",
         "target",
-        "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
     )
 
 

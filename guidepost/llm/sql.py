@@ -38,14 +38,13 @@ WITH sizes AS (
         sum(size) OVER (PARTITION BY s.source, point) AS inside
     FROM sizes s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source
 )
-SELECT doc_id, size, source_size, target,
-    (whole::BIGINT + CASE WHEN upto <= budget
-        OR (upto - inside <= budget AND abs(upto - budget) < abs(upto - inside - budget))
-        THEN 1 ELSE 0 END)::BIGINT AS copies,
-    ((whole::BIGINT + CASE WHEN upto <= budget
-        OR (upto - inside <= budget AND abs(upto - budget) < abs(upto - inside - budget))
-        THEN 1 ELSE 0 END) * size)::BIGINT AS taken
-FROM sums
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies
+FROM (
+    SELECT *, (whole::BIGINT + CASE WHEN budget > 0 AND (upto <= budget
+        OR (upto - inside <= budget AND abs(upto - budget) < abs(upto - inside - budget)))
+        THEN 1 ELSE 0 END)::BIGINT AS copies
+    FROM sums
+)
 """
 
 
