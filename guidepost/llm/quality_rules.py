@@ -153,6 +153,9 @@ def posteriors(
     return good, np.stack([says_bad[0], 1 - says_bad[1]])
 
 
+FIRST_MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def judge(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -160,8 +163,8 @@ def judge(
     rules: tuple[Rule, ...] = RULES,
     least_probability: float = 0.5,
 ) -> DataFrame:
-    """Measures and verdict for each row: id, the counts of ``MEASURES``, base_failed,
-    probability and kept.
+    """Measures and verdict for each row: id, ``FIRST_MEASURES``, base_failed, kept, probability and
+    the other counts of ``MEASURES``.
 
     All texts that pass the base rule vote (the others are decided, and would only teach what
     the base rule knows); patterns of votes are counted by Spark and the driver gets one row for
@@ -190,5 +193,10 @@ def judge(
     )
     kept = F.coalesce(F.col("probability") >= least_probability, F.lit(False))
     return measured.join(F.broadcast(verdicts), "pattern", "left").select(
-        F.col("id").alias(doc_id), *MEASURES, "base_failed", "probability", kept.alias("kept")
+        F.col("id").alias(doc_id),
+        *FIRST_MEASURES,
+        "base_failed",
+        kept.alias("kept"),
+        "probability",
+        *[name for name in MEASURES if name not in FIRST_MEASURES],
     )
