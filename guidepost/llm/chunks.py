@@ -31,7 +31,6 @@ GEAR = numbers(300, 256)
 DOUBLINGS = 4  # the hash looks back 2**4 bytes
 CUT_BITS = 4  # a place is a candidate if so many bits of the hash are zero
 LEAST, MOST = 12, 256  # bytes of a chunk
-LEAST_RUN = 64  # bytes of a run of repeated chunks that is worth removing
 DIGEST = 16
 CHUNKS_PER_GROUP = 1 << 18
 
@@ -160,7 +159,7 @@ RESULT = (
 )
 
 
-def _cleaned(batches: DataFrame, judged: DataFrame) -> DataFrame:
+def _cleaned(batches: DataFrame, judged: DataFrame, least_run: int) -> DataFrame:
     own_id = T.StructField("id", batches.schema["ids"].dataType.elementType)
     kinds = T.StructType([own_id, *T.StructType.fromDDL(RESULT).fields])
 
@@ -190,7 +189,7 @@ def _cleaned(batches: DataFrame, judged: DataFrame) -> DataFrame:
             mask = np.zeros(int(sizes[i]), bool)
             for s, e in zip(*runs(repeated[a:b] & ~stays[a:b])):
                 from_, to = int(begin_of[a + s]), int(ends[a + e - 1])
-                if to - from_ >= LEAST_RUN:
+                if to - from_ >= least_run:
                     mask[from_ - start : to - start] = True
             kept = buf[start : start + int(sizes[i])][~mask].tobytes()
             out["id"].append(key)
@@ -209,16 +208,16 @@ def _cleaned(batches: DataFrame, judged: DataFrame) -> DataFrame:
 
 
 def without_repeated_chunks(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_run: int = 0
 ) -> DataFrame:
     """id, n_bytes, n_chunks, n_repeated (chunks that occur elsewhere, too), n_removed (bytes),
     n_spans, kept_sha256 and kept (the bytes that are left) of each row.
 
     Of equal chunks the one in the row with the smallest id stays, within a row the first; rows
     with equal ids, and those with ids that are not whole numbers, are in the order of a hash of
-    the row; null ids come last. Repeated chunks are removed where they make up at least 64
-    bytes in a row of neighbours. A null text counts as empty; an exact copy of a row keeps
-    only what is too short to remove. Other columns are not looked at; an empty table stays empty.
+    the row; null ids come last. Repeated chunks are removed where neighbours make up at least ``least_run``
+    bytes, by default always. A null text counts as empty; an exact copy of a row keeps
+    nothing then. Other columns are not looked at; an empty table stays empty.
     """
     whole = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
     own = column(doc_id).cast("long") if whole else F.xxhash64(column(doc_id), column(text))
@@ -237,5 +236,5 @@ def without_repeated_chunks(
     )
     total = packed_rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n")).first()["n"]
     groups = max(8, int(total // 32 // CHUNKS_PER_GROUP))
-    cleaned = _cleaned(batches, _judged(_dealt(batches, groups)))
+    cleaned = _cleaned(batches, _judged(_dealt(batches, groups)), least_run)
     return cleaned.withColumnRenamed("id", doc_id)
