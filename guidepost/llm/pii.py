@@ -11,6 +11,7 @@ import hashlib
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -68,6 +69,12 @@ _PLAIN = re.compile(
     r"(?![A-Za-z0-9])",
     re.IGNORECASE,
 )
+# A bare " at " also counts before a domain of which a dot was rewritten from something longer.
+_BARE_AT = re.compile(
+    r"(?<=[A-Za-z0-9])\x20at\x20"
+    r"(?=(?P<name>[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24})(?!\.?[A-Za-z0-9-]))",
+    re.IGNORECASE,
+)
 
 
 @dataclass
@@ -130,6 +137,14 @@ def _write_plain(match: re.Match) -> list:
     return out
 
 
+def _write_bare_at(copy: Rewritten, match: re.Match) -> list:
+    """An at sign if a dot of the domain stands for more than one character, else what was there."""
+    domain = range(*match.span("name"))
+    if any(copy.text[k] == "." and copy.end[k] - copy.start[k] > 1 for k in domain):
+        return [("@", *match.span())]
+    return [(c, match.start() + k, match.start() + k + 1) for k, c in enumerate(match[0])]
+
+
 # Cheap necessary conditions, so that the patterns of the transducers only run where they can
 # match: first bytes of the odd characters, an opening bracket before a first letter, and
 # neighbouring tokens.
@@ -238,6 +253,8 @@ def added_spans(
         now = copy.text if copy else text
         if may_match(now) and pattern.search(now):
             copy = (copy or Rewritten.of(text)).replace(pattern, write)
+    if copy is not None and _BARE_AT.search(copy.text):
+        copy = copy.replace(_BARE_AT, partial(_write_bare_at, copy))
     if copy is None or copy.text == text:
         return found
     for kind, spans in base_spans(copy.text).items():
