@@ -136,21 +136,23 @@ def fit(found: np.ndarray, names: list[str], rounds: int = 300) -> Model:
 
 
 def train_model(docs: DataFrame, doc_id: str, text: str, lang: str, rows: int) -> Model:
-    """Learns from about ``rows`` rows that have a language and are not held out."""
+    """Learns from about ``rows`` different texts that have a language and are not held out, the same
+    number of each language as far as it has them."""
     known = docs.select(
         column(doc_id).alias("own"), column(text).cast("binary").alias("text"),
         column(lang).alias("id"),
     )
     known = known.where(F.col("id").isNotNull() & ~in_held_out(F.col("own"), FOLDS, HELD_OUT))
-    counts = {row["id"]: row["count"] for row in known.groupBy("id").count().collect()}
+    # Hashing the text makes copies stand or fall together; they are counted once.
+    hashed = F.xxhash64("id", "text")
+    texts = known.groupBy("id").agg(F.approx_count_distinct(hashed).alias("texts"))
+    counts = {row["id"]: max(1, row["texts"]) for row in texts.collect()}
     if not counts:
         return Model([])
     each = rows / len(counts)
     share = F.create_map(
         *[F.lit(x) for name, n in sorted(counts.items()) for x in (name, min(1.0, each / n))]
     )
-    # Hashing the text makes copies stand or fall together; they are then counted once.
-    hashed = F.xxhash64("id", "text")
     chosen = known.where(F.pmod(hashed, F.lit(1 << 20)) < share[F.col("id")] * (1 << 20))
     kinds = T.StructType().add("id", "string").add("profile", "binary")
 
