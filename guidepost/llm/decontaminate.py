@@ -22,7 +22,8 @@ from guidepost.functions import column
 from guidepost.llm.frames import Shared, fresh
 from guidepost.sources.scratch import snapshot
 
-TILE = 5  # tokens of the shortest tile
+TILE = 5  # tokens of the shortest tile; of a shorter item, all
+PAIRS = 4  # pairs of seeds for each token of both texts that are looked at one by one
 COVERAGE = 0.5
 BLOCK_BYTES = 4 * 1024 * 1024  # benchmark text that tasks hold at a time
 
@@ -44,50 +45,91 @@ def rolling(numbers: np.ndarray, length: int) -> np.ndarray:
     return total
 
 
+@dataclass
+class Seeds:
+    """Runs of one length: their sorted hashes, and for each the items and positions they have."""
+
+    hashes: np.ndarray
+    places: dict[int, dict[int, list[int]]]
+
+
 @dataclass
 class Index:
-    """Benchmark items as token numbers, and where each run of ``TILE`` tokens occurs."""
+    """Benchmark items as token numbers, and where their seeds occur. A seed has ``TILE`` tokens;
+    a shorter item is its own seed."""
 
     names: list
     items: list[np.ndarray]
     vocabulary: dict[bytes, int]
-    seeds: np.ndarray  # sorted hashes
-    places: dict[int, list[tuple[int, int]]]  # hash: (item, position)
+    seeds: dict[int, Seeds]  # by length
 
     @classmethod
     def of(cls, rows: list[tuple[object, str | None]]) -> Index:
         vocabulary: dict[bytes, int] = {}
-        places = defaultdict(list)
+        places: dict[int, dict[int, dict[int, list[int]]]] = {}
         items = []
         for number, (_, text) in enumerate(rows):
             own = [vocabulary.setdefault(t, len(vocabulary) + 1) for t in tokens(text)]
             items.append(np.array(own, np.int64))
-            for at, key in enumerate(rolling(items[-1], TILE).tolist()):
-                places[key].append((number, at))
-        seeds = np.array(sorted(places), np.uint64)
-        return cls([name for name, _ in rows], items, vocabulary, seeds, dict(places))
+            if own:
+                length = min(TILE, len(own))
+                of_length = places.setdefault(length, defaultdict(dict))
+                for at, key in enumerate(rolling(items[-1], length).tolist()):
+                    of_length[key].setdefault(number, []).append(at)
+        seeds = {
+            length: Seeds(np.array(sorted(own), np.uint64), dict(own))
+            for length, own in places.items()
+        }
+        return cls([name for name, _ in rows], items, vocabulary, seeds)
 
 
 def common_runs(
-    item: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]]
+    item: np.ndarray, doc: np.ndarray, hits: list[tuple[int, list[int]]]
 ) -> Iterator[tuple[int, int, int]]:
-    """Maximal runs (position in item, position in doc, length) that the seeds lie on."""
+    """Maximal runs (position in item, position in doc, length) that the seeds lie on.
+
+    ``hits`` has, in order, positions in the document and those in the item with the same seed. Where a
+    repeated token makes more pairs of them than the texts have tokens, whole diagonals are
+    compared instead, so that pairs are never listed.
+    """
+    least = min(TILE, len(item))
+    if sum(len(own) for _, own in hits) > PAIRS * (len(item) + len(doc)):
+        yield from _runs_by_diagonal(item, doc, hits[0][0], hits[-1][0] + least, least)
+        return
     ends: dict[int, int] = {}  # of the last run on each diagonal, in the document
-    for p, t in sorted(seeds, key=lambda seed: seed[1]):
-        if t + TILE <= ends.get(t - p, 0) or (item[p : p + TILE] != doc[t : t + TILE]).any():
-            continue
-        most = min(len(item) - p, len(doc) - t)
-        unlike = np.flatnonzero(item[p : p + most] != doc[t : t + most])
-        length = int(unlike[0]) if len(unlike) else most
-        ends[t - p] = t + length
-        yield p, t, length
+    for t, own in hits:
+        for p in own:
+            if t + least <= ends.get(t - p, 0):
+                continue
+            if (item[p : p + least] != doc[t : t + least]).any():
+                continue
+            most = min(len(item) - p, len(doc) - t)
+            unlike = np.flatnonzero(item[p : p + most] != doc[t : t + most])
+            length = int(unlike[0]) if len(unlike) else most
+            ends[t - p] = t + length
+            yield p, t, length
+
+
+def _runs_by_diagonal(
+    item: np.ndarray, doc: np.ndarray, begin: int, end: int, least: int
+) -> Iterator[tuple[int, int, int]]:
+    """The same runs, all of which lie in ``doc[begin:end]``."""
+    for shift in range(begin - len(item) + least, end - least + 1):
+        p = max(0, begin - shift)
+        size = min(len(item) - p, end - shift - p)
+        same = item[p : p + size] == doc[p + shift : p + shift + size]
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]])))
+        for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist()):
+            if b - a >= least:
+                yield p + a, p + shift + a, b - a
 
 
-def tiled(item: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]]) -> int:
+def tiled(item: np.ndarray, doc: np.ndarray, hits: list[tuple[int, list[int]]]) -> int:
     """Tokens of the item under tiles: the longest run of unmarked tokens is marked first, of
     equal ones the first in the item, then the first in the document."""
     free_item, free_doc = np.ones(len(item), bool), np.ones(len(doc), bool)
-    queue = [(-length, p, t) for p, t, length in common_runs(item, doc, seeds)]
+    least = min(TILE, len(item))
+    queue = [(-length, p, t) for p, t, length in common_runs(item, doc, hits)]
     heapq.heapify(queue)
     while queue:
         negative, p, t = heapq.heappop(queue)
@@ -99,28 +141,29 @@ def tiled(item: np.ndarray, doc: np.ndarray, seeds: list[tuple[int, int]]) -> in
             continue
         edges = np.flatnonzero(np.diff(np.concatenate([[False], free, [False]])))
         for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist()):
-            if b - a >= TILE:
+            if b - a >= least:
                 heapq.heappush(queue, (a - b, p + a, t + a))
     return int((~free_item).sum())
 
 
 def coverages(index: Index, text: str | None) -> dict[int, float]:
-    """The covered share of each item that has a run of ``TILE`` tokens in common with a text."""
+    """The covered share of each item that has a seed in common with a text."""
     known = index.vocabulary.get
     words = tokens(text)
     doc = np.fromiter((known(w, 0) for w in words), np.int64, len(words))
     missing = np.concatenate([[0], np.cumsum(doc == 0)])
-    if len(doc) < TILE or not len(index.seeds):
-        return {}
-    at = np.flatnonzero(missing[TILE:] == missing[:-TILE])
-    keys = rolling(doc, TILE)[at]
-    near = np.minimum(np.searchsorted(index.seeds, keys), len(index.seeds) - 1)
-    found = index.seeds[near] == keys
-    seeds = defaultdict(list)
-    for t, key in zip(at[found].tolist(), keys[found].tolist()):
-        for number, p in index.places[key]:
-            seeds[number].append((p, t))
-    return {n: tiled(index.items[n], doc, own) / len(index.items[n]) for n, own in seeds.items()}
+    hits: dict[int, list[tuple[int, list[int]]]] = defaultdict(list)
+    for length, seeds in index.seeds.items():
+        if len(doc) < length:
+            continue
+        at = np.flatnonzero(missing[length:] == missing[:-length])
+        keys = rolling(doc, length)[at]
+        near = np.minimum(np.searchsorted(seeds.hashes, keys), len(seeds.hashes) - 1)
+        found = seeds.hashes[near] == keys
+        for t, key in zip(at[found].tolist(), keys[found].tolist()):
+            for number, own in seeds.places[key].items():
+                hits[number].append((t, own))
+    return {n: tiled(index.items[n], doc, own) / len(index.items[n]) for n, own in hits.items()}
 
 
 def _index_blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[Index]:
@@ -192,7 +235,7 @@ def contamination(
 
     ``coverage`` is the largest covered share of any item, ``items`` are those covered enough
     (ordered within a benchmark block). A null or empty text covers nothing; an item of fewer
-    than five tokens is never covered; equal benchmark rows count once; repeated documents are
+    than five tokens is covered as a whole or not at all, one without tokens never; equal benchmark rows count once; repeated documents are
     treated alike; an empty benchmark leaves all clean. Other columns are not looked at.
     """
     rows = docs.select(column(doc_id).alias("id"), column(text).alias("text"))
@@ -209,7 +252,11 @@ def contamination(
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", **options
 ) -> DataFrame:
-    """The rows of ``docs`` that cover no benchmark item enough, in their own columns."""
+    """The rows of ``docs`` that cover no benchmark item enough, in their own columns.
+
+    Rules and edge cases are those of ``contamination``: rows with a null or empty text stay, repeated
+    rows stay or go together, and an empty benchmark or table changes nothing.
+    """
     result = fresh(docs, "contamination")
     found = with_coverage(docs, benchmark, text, result, **options)
     clean = found.where(F.size(F.col(f"{result}.items")) == 0)
