@@ -36,6 +36,7 @@ from guidepost.llm.frames import (
     in_held_out,
     per_row,
     slices,
+    word_count,
 )
 from guidepost.llm.samples import labelled
 from guidepost.llm.textops import Words, mix64, sums_by_text, words_of
@@ -334,9 +335,15 @@ def _scorer(model: Model) -> Callable[[Column], Column]:
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **options
 ) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, in their own columns."""
+    """The rows of ``docs`` that score below the threshold, in their own columns.
+
+    A null text or one without words says nothing, so it stays, however common toxic labels are;
+    repeated rows stay or go together; an empty table stays empty.
+    """
     model = train_model(docs, labels, doc_id, text, **options)
     score = _scorer(model)
     name = fresh(docs, "score")
-    scored = docs.withColumn(name, score(column(text))).where(F.col(name) < THRESHOLD)
+    says_nothing = word_count(column(text)) == 0
+    scored = docs.withColumn(name, score(column(text)))
+    scored = scored.where((F.col(name) < THRESHOLD) | says_nothing)
     return scored.select(*[column(c) for c in docs.columns])
