@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -184,6 +185,16 @@ def test_codewords_differ(count):
     assert min(apart) >= (1 if count == 2 else 2)
 
 
+def test_many_copies_do_not_thin_out_the_sample(spark):
+    rng = random.Random(9)
+    letters = {"aa": "abcde", "bb": "vwxyz"}
+    words = lambda lang: " ".join("".join(rng.choices(letters[lang], k=5)) for _ in range(30))
+    rows = [(i, words(lang), lang, "s", 1) for i, lang in enumerate(["aa", "bb"] * 60)]
+    rows += [(1000 + i, rows[0][1], "aa", "s", 1) for i in range(6000)]
+    found = identify(docs(spark, rows), rows=200).where("doc_id < 1000").collect()
+    assert {r["lang_pred"] == ["aa", "bb"][r["doc_id"] % 2] for r in found} == {True}
+
+
 def test_ambiguous_between_two_languages():
     rng = np.random.default_rng(1)
     centers = np.abs(rng.normal(size=(3, FEATURES))).astype(np.float32)
@@ -236,6 +247,8 @@ def test_base_spans_equal_the_plain_patterns(table):
         ("to john.doe [at] mail (dot) example (dot) com now", "email",
          "john.doe [at] mail (dot) example (dot) com"),
         ("bob at example dot com", "email", "bob at example dot com"),
+        ("ask john at example [dot] com.", "email", "john at example [dot] com"),
+        ("john.doe at example (dot) org", "email", "john.doe at example (dot) org"),
         ("jоhn@exаmple.com!", "email", "jоhn@exаmple.com"),
         ("mail jane​.doe@example.org, bye", "email", "jane​.doe@example.org"),
         ("call +one two three five five five zero one two", "phone",
@@ -251,7 +264,7 @@ def test_disguises_map_back_to_the_source(text, kind, piece):
     assert pii.redacted(text) == text.replace(piece, f"<{kind.upper()}>")
 
 
-@pytest.mark.parametrize("text", ["look at example.com", "to oned at this dot", "one two", "at dot"])
+@pytest.mark.parametrize("text", ["look at example.com", "look at example.com and (dot) here", "to oned at this dot", "one two", "at dot"])
 def test_plain_text_is_no_disguise(text):
     assert not any(pii.added_spans(text, pii.base_spans(text)).values())
     assert pii.redacted(text) == text
@@ -287,10 +300,35 @@ def test_tiling_equals_brute_force():
         doc = "".join(rng.choice("abc") for _ in range(rng.randint(0, 40)))
         index = decontaminate.Index.of([(1, " ".join(item))])
         found = decontaminate.coverages(index, " ".join(doc))
-        share = slow_tiles(item, doc, decontaminate.TILE) / max(1, len(item))
+        least = max(1, min(decontaminate.TILE, len(item)))
+        share = slow_tiles(item, doc, least) / max(1, len(item))
         assert found.get(0, 0.0) == pytest.approx(share), (item, doc)
 
 
+def test_repeated_tokens_make_no_product_of_seeds(monkeypatch):
+    rng = random.Random(4)
+    cases = [(rng.choices("ab", (9, 1), k=rng.randint(1, 30)), rng.choices("abc", (9, 1, 1), k=40)) for _ in range(80)]
+    for pairs in (0, 1000):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        for item, doc in cases:
+            index = decontaminate.Index.of([(1, " ".join(item))])
+            found = decontaminate.coverages(index, " ".join(doc)).get(0, 0.0)
+            least = min(decontaminate.TILE, len(item))
+            assert found == pytest.approx(slow_tiles(item, doc, least) / len(item))
+    monkeypatch.undo()
+    began = time.process_time()
+    index = decontaminate.Index.of([(1, "same " * 3000)])
+    assert decontaminate.coverages(index, "same " * 6000) == {0: 1.0}
+    assert time.process_time() - began < 3
+
+
+def test_short_items_are_found(spark):
+    items = [(1, "two words"), (2, "Alone"), (3, "..."), (4, "not in any text")]
+    texts = ["here two, WORDS are", "two other words", "alone", "", "words two"]
+    rows = decontaminate.contamination(numbered(spark, texts), benchmark(spark, items)).collect()
+    assert {r["doc_id"]: r["items"] for r in rows} == {0: [1], 1: [], 2: [2], 3: [], 4: []}
+
+
 def test_reordered_and_edited_passages_are_caught(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)  # several blocks
     rng = random.Random(3)
@@ -325,6 +363,18 @@ def test_mixing_equals_its_sql(table):
     assert sorted(map(tuple, mix_report(table("documents")).collect())) == sorted(expected)
 
 
+def test_no_text_is_taken_more_often_than_allowed(spark):
+    # The second source stops at twice its size; its texts without words once got a third copy.
+    rows = [(i, "word " * 50, "en", "a", 1) for i in range(30)]
+    rows += [(100 + i, "" if i % 2 else None, "en", "b", 0) for i in range(40)]
+    rows += [(200 + i, "one two", "en", "b", 1) for i in range(3)]
+    found = mix_report(docs(spark, rows)).collect()
+    assert max(r["copies"] for r in found) == 2
+    assert {r["copies"] for r in found if r["doc_id"] >= 100} == {2}
+    counts = Counter(r["doc_id"] for r in mix(docs(spark, rows)).collect())
+    assert max(counts.values()) == 2 and counts == {r["doc_id"]: r["copies"] for r in found if r["copies"]}
+
+
 def test_sources_come_near_their_targets(spark, table):
     report = mix_report(table("documents")).collect()
     sources = {r["doc_id"]: r["source"] for r in table("documents").collect()}
@@ -350,7 +400,7 @@ def test_equal_points_are_taken_together(spark):
 # 6. Chunks
 
 
-def slow_chunks(texts):
+def slow_chunks(texts, least_run):
     cut = []
     for raw in texts:
         ends = chunks.chunk_ends(np.frombuffer(raw, np.uint8)).tolist()
@@ -369,17 +419,19 @@ def slow_chunks(texts):
             while j < len(own) and gone[j] == gone[i]:
                 j += 1
             piece = b"".join(own[i:j])
-            out += b"" if gone[i] and len(piece) >= chunks.LEAST_RUN else piece
+            out += b"" if gone[i] and len(piece) >= least_run else piece
             i = j
         kept.append(out)
     return kept
 
 
-def test_chunks_equal_brute_force(table, monkeypatch):
+@pytest.mark.parametrize("least_run", [0, 64])
+def test_chunks_equal_brute_force(table, monkeypatch, least_run):
     monkeypatch.setattr(batches_module, "BATCH_BYTES", 200_000)
     texts = [r["text"].encode() for r in table("documents").orderBy("doc_id").collect()]
-    rows = chunks.without_repeated_chunks(table("documents")).orderBy("doc_id").collect()
-    assert [bytes(r["kept"]) for r in rows] == slow_chunks(texts)
+    found = chunks.without_repeated_chunks(table("documents"), least_run=least_run)
+    rows = found.orderBy("doc_id").collect()
+    assert [bytes(r["kept"]) for r in rows] == slow_chunks(texts, least_run)
     assert sum(r["n_removed"] for r in rows) > 0
 
 

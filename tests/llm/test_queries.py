@@ -34,6 +34,29 @@ def test_query_equals_its_sql(spark, name):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(result.fetchall(), key=repr)
 
 
+# What the contracts fix, in their order; more columns may follow.
+LEADING = {
+    "op1_simhash": "doc_id fingerprint component_id",
+    "op2_toxicity": "doc_id held_out score predicted",
+    "op3_pii": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op5_mixing": "doc_id size source_size target taken",
+    "op7_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op8_language": "doc_id held_out lang_pred score",
+    "op9_quality_model": "doc_id held_out score predicted",
+    "op10_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op11_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_manifest": "doc_id leaf subroot root proof_sha256 folded_root verified",
+}
+
+
+@pytest.mark.parametrize("name", sorted(LEADING))
+def test_leading_columns(spark, name):
+    names = LEADING[name].split()
+    found = QUERIES[name](spark, "/root/testdata/sf0.001").columns
+    assert found[: len(names)] == names
+
+
 def test_mixing_is_native(spark):
     plan = plan_of(QUERIES["op5_mixing"](spark, SF_DIR))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
