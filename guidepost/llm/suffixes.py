@@ -30,6 +30,7 @@ SEED = 3**SEED_ROUNDS  # bytes of the pieces by which equal strings meet
 SEEDS = MATCH - SEED + 1  # such pieces in MATCH bytes
 
 AT_ONCE = 1 << 22  # bytes whose names are computed at a time
+WINDOW_SEEDS = (500, 502)
 WEIGHTS = numbers(200, 3 * ROUNDS).reshape(ROUNDS, 3)
 
 
@@ -111,9 +112,19 @@ def pieces(
 
 
 def window_names(buf: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """128 bits for the MATCH bytes at each start: the names of the two tuples that cover them."""
-    names = named(buf, ROUNDS)
-    return np.stack([mix64(names[starts]), mix64(names[starts + SHIFT])], axis=1)
+    """128 bits for the MATCH bytes at each start: two polynomials over all of them, with bases
+    and byte values of their own. They come from running sums, shifted by the inverse base."""
+    found = []
+    for seed in WINDOW_SEEDS:
+        base = int(numbers(seed, 1)[0])
+        steps = np.full(len(buf), base, np.uint64)
+        steps[:1] = 1
+        sums = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(numbers(seed + 1, 256)[buf] * np.cumprod(steps), out=sums[1:])
+        steps[1:] = pow(base, -1, 1 << 64)
+        shift = np.cumprod(steps)[starts]
+        found.append(mix64((sums[starts + MATCH] - sums[starts]) * shift))
+    return np.stack(found, axis=1).reshape(-1, len(WINDOW_SEEDS))
 
 
 def _same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

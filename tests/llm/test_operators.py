@@ -488,7 +488,9 @@ def small_groups(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECES_BYTES_PER_GROUP", 5_000)
 
 
-def test_suffixes_equal_brute_force(spark, small_groups):
+@pytest.mark.parametrize("heavy_bytes", [suffix_dedup.HEAVY_BYTES, 3000])
+def test_suffixes_equal_brute_force(spark, small_groups, monkeypatch, heavy_bytes):
+    monkeypatch.setattr(suffix_dedup, "HEAVY_BYTES", heavy_bytes)
     rng = random.Random(7)
     base = ["".join(rng.choice("ab") for _ in range(900)) for _ in range(6)]
     texts = []
@@ -504,6 +506,22 @@ def test_suffixes_equal_brute_force(spark, small_groups):
     assert sum(f[1] for f in found) > 0
 
 
+def test_window_names_see_every_byte():
+    rng = np.random.default_rng(13)
+    one = rng.integers(0, 256, suffixes.MATCH).astype(np.uint8)
+    windows = [one]
+    for at in range(suffixes.MATCH):  # each byte changed, and each moved to the place before
+        other = one.copy()
+        other[at] ^= rng.integers(1, 256)
+        windows += [other, np.roll(one, at)]
+    buf = np.concatenate([*windows, *windows])
+    names = suffixes.window_names(buf, np.arange(len(windows) * 2) * suffixes.MATCH)
+    assert (names[: len(windows)] == names[len(windows) :]).all()
+    texts = {w.tobytes() for w in windows}
+    for k in (0, 1):
+        assert len(set(names[:, k].tolist())) == len(texts)
+
+
 def test_exactly_400_bytes_count_and_399_do_not(spark, small_groups):
     rng = random.Random(8)
     shared = "".join(rng.choice("abcdefgh") for _ in range(400))
