@@ -24,7 +24,9 @@ from guidepost.llm.vantage import build, pairs_within, route
 from guidepost.sources.scratch import snapshot
 
 SEED = 42
-SHARD_POINTS = 8192  # points that a shard should have at home
+# Points that a shard should have at home. Points near a boundary are copied, and in 64 dimensions most
+# points are near one: the copies of a point grow as the number of shards to the power of a third.
+SHARD_POINTS = 131072
 SAMPLE_PER_SHARD = 32
 MAX_SHARDS = 65536  # the tree that all tasks get has no more leaves
 LEAF_POINTS = 256
