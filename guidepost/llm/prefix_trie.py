@@ -63,7 +63,8 @@ def ordered_turns(
         word_count(said).alias("words"),
     )
     order = [F.col("turn").asc_nulls_first(), F.col("item")]
-    placed = ordinals(items, "conv", order, "trie-turns")
+    # Stored, as sorting by range reads its input twice; that must not be the texts.
+    placed = ordinals(snapshot(items, "trie-items"), "conv", order, "trie-turns")
     return placed.select("conv", (F.col("ordinal") + 1).alias("position"), "item", "words", "size")
 
 
