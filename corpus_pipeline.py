@@ -16,7 +16,7 @@ from guidepost.llm.pii import redact
 from guidepost.llm.queries import table
 from guidepost.llm.simhash import drop_near_duplicates
 from guidepost.llm.toxicity import drop_toxic
-from guidepost.sources.scratch import snapshot
+from guidepost.sources.scratch import drop_table, snapshot
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +59,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result but the last is a stored table that the next
-    stage reads."""
-    docs = table(spark, sf_dir, "documents")
+    stage reads and that is dropped when that stage is stored."""
+    docs, stored = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = snapshot(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if stored is not None:
+            drop_table(stored)
+        stored = docs
     return STAGES[-1][1](spark, docs, sf_dir)
