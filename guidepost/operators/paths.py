@@ -13,10 +13,13 @@ from guidepost.plans import (
     bucket_times,
     byte_total,
     distinct_keys,
+    hold_time,
     is_small,
-    size_windows,
     split_windows,
+    steps,
+    width_for,
 )
+from guidepost.plans.ranges import WIDTHS
 from guidepost.sources import snapshot
 
 INDEX_KEYS = ["project", "theme", "extraction_name"]
@@ -58,8 +61,9 @@ def resolve_paths(
     The windows of a target are few and the index is long, so the windows are computed and
     measured first (small jobs over the control tables); the index is read when the result is.
     Small windows are broadcast, and only what matches is shuffled, once, to merge repeats.
-    Otherwise both sides are shuffled, the index once for each bucket width in use (one for most
-    targets, six at most). In window mode the years of all windows bound the scan of the index.
+    Otherwise both sides are shuffled, the index once and without repeating a row, whatever the
+    lengths of the windows are. In window mode the years of all windows bound the scan of the index; only
+    if there are long windows, a first scan of its dates finds the span to which they are cut.
     """
     if mode not in ("window", "flag"):
         raise ValueError(f"mode must be 'window' or 'flag', not {mode!r}")
@@ -69,26 +73,40 @@ def resolve_paths(
 
 
 def _match_windows(windows: DataFrame, index: DataFrame, max_bytes: int) -> DataFrame:
-    sized = size_windows(windows, "delta_start", "delta_end")
-    steps = F.col("last_bucket") - F.col("first_bucket") + 1
-    measured = sized.agg(
-        byte_total(sized, times=steps).alias("bytes"),
-        F.collect_set("bucket_width").alias("widths"),
-        F.year(F.min("delta_start")).alias("first_year"),
-        F.year(F.max("delta_end")).alias("last_year"),
+    held = hold_time(windows, "delta_start", "delta_end").distinct()
+    years = held.agg(
+        F.year(F.min("delta_start")).alias("first"), F.year(F.max("delta_end")).alias("last")
     ).first()
-
     time = partition_time(index, like=windows.schema["delta_start"].dataType)
-    entries = bucket_times(
-        _years(index, measured["first_year"], measured["last_year"]).select(*INDEX_KEYS, "directory", time.alias("partition_time")),
-        "partition_time",
-        measured["widths"] or [1],
+    entries = _years(index, years["first"], years["last"]).select(
+        *INDEX_KEYS, "directory", time.alias("partition_time")
+    )
+    cut = held.withColumns({"cut_start": F.col("delta_start"), "cut_end": F.col("delta_end")})
+    width = width_for(cut, "cut_start", "cut_end")
+    if width != WIDTHS[0]:
+        cut = snapshot(_cut_to_span(held, entries), "windows-cut")
+        width = width_for(cut, "cut_start", "cut_end")
+    pieces = steps("cut_start", "cut_end", width)
+    small = cut.agg(byte_total(cut, times=pieces).alias("bytes")).first()["bytes"] <= max_bytes
+    found = _join_entries(
+        bucket_times(entries, "partition_time", width),
+        split_windows(cut, "cut_start", "cut_end", width).drop("cut_start", "cut_end"),
+        [*INDEX_KEYS, "bucket"],
+        small,
     )
-    keys = [*INDEX_KEYS, "bucket_width", "bucket"]
-    small = measured["bytes"] <= max_bytes
-    return _join_entries(entries, split_windows(sized.distinct()), keys, small).where(
-        F.col("partition_time").between(F.col("delta_start"), F.col("delta_end"))
+    return found.where(F.col("partition_time").between(F.col("delta_start"), F.col("delta_end")))
+
+
+def _cut_to_span(windows: DataFrame, entries: DataFrame) -> DataFrame:
+    """``windows`` with ``cut_start`` and ``cut_end``, their part between the first and the last
+    entry; those without one are left out."""
+    span = entries.agg(F.min("partition_time").alias("first"), F.max("partition_time").alias("last"))
+    kind = windows.schema["delta_start"].dataType
+    first, last = (F.lit(value).cast(kind) for value in span.first())
+    cut = windows.withColumns(
+        {"cut_start": F.greatest("delta_start", first), "cut_end": F.least("delta_end", last)}
     )
+    return hold_time(cut.where(first.isNotNull()), "cut_start", "cut_end")
 
 
 def _years(index: DataFrame, first: int | None, last: int | None) -> DataFrame:

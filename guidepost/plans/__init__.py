@@ -1,6 +1,6 @@
 """Join helpers: measured broadcast, hot keys, and time windows as equal keys."""
 
-from guidepost.plans.ranges import bucket_times, size_windows, split_windows
+from guidepost.plans.ranges import bucket_times, hold_time, split_windows, steps, width_for
 from guidepost.plans.sizes import (
     MAX_BROADCAST_BYTES,
     broadcast_if_small,
@@ -17,8 +17,10 @@ __all__ = [
     "bucket_times",
     "byte_total",
     "distinct_keys",
+    "hold_time",
     "is_small",
     "shuffle_settings",
-    "size_windows",
     "split_windows",
+    "steps",
+    "width_for",
 ]

@@ -1,10 +1,14 @@
 """Time windows as equal keys.
 
 "Time between start and end" alone gives Spark nothing to hash on: for one busy key it would
-compare every time with every window. Here the day axis is cut into buckets and a window
-becomes the buckets it touches, so bucket numbers join by equality and only times near a
-window are compared. A fixed bucket width would turn an open-ended window into millions of
-buckets; instead a window picks a width that fits its length.
+compare every time with every window. Here the day axis is cut into buckets of one width; a time
+falls into one of them and a window becomes those it touches, so bucket numbers join by
+equality and only times near a window are compared. Times are never repeated, windows are.
+
+The width is the least one for which all windows together become a bounded number of pieces, after they
+are cut to the span of the times (an open end would otherwise touch millions of buckets). A
+wider one than the least is only taken if the windows are longer than that on average, so
+what is compared beyond the result is at most about twice the result, for times that lie evenly.
 """
 
 from __future__ import annotations
@@ -14,53 +18,51 @@ from pyspark.sql import functions as F
 
 from guidepost.functions import column
 
-# Bucket widths in days. A window takes the first one that covers it in MAX_STEPS steps or
-# fewer, or else the last.
+# Bucket widths in days.
 WIDTHS = (1, 8, 64, 512, 4096, 32768)
-MAX_STEPS = 8
+# Pieces that windows may become: so many each on average, and so many altogether in any case.
+PIECES_EACH = 8
+PIECES_AT_LEAST = 1 << 16
 
 
 def _day_number(time: Column) -> Column:
     return F.unix_date(F.to_date(time))
 
 
-def _bucket(day: Column, width: Column) -> Column:
-    return F.floor(day / width)
+def _bucket(time: Column, width: int) -> Column:
+    return F.floor(_day_number(time) / width)
 
 
-def size_windows(df: DataFrame, start: str, end: str) -> DataFrame:
-    """``df`` with the ``bucket_width`` of each window and its ``first`` and ``last`` bucket.
-
-    Windows that hold no time at all (a null bound, or the end before the start) disappear.
-    """
-    first, last = _day_number(column(start)), _day_number(column(end))
-    width = F.lit(WIDTHS[-1])
-    for candidate in reversed(WIDTHS[:-1]):
-        width = F.when(last - first < candidate * MAX_STEPS, candidate).otherwise(width)
-    return (
-        df.where(column(start) <= column(end))
-        .withColumn("bucket_width", width)
-        .withColumn("first_bucket", _bucket(first, F.col("bucket_width")))
-        .withColumn("last_bucket", _bucket(last, F.col("bucket_width")))
-    )
+def hold_time(df: DataFrame, start: str, end: str) -> DataFrame:
+    """``df`` without the windows that hold no time (a null bound, or the end before the start)."""
+    return df.where(column(start) <= column(end))
 
 
-def split_windows(sized: DataFrame) -> DataFrame:
-    """One row for each bucket that a window of ``size_windows`` touches, in ``bucket``."""
-    steps = F.sequence(F.col("first_bucket"), F.col("last_bucket"))
-    return sized.withColumn("bucket", F.explode(steps)).drop("first_bucket", "last_bucket")
+def steps(start: str, end: str, width: int) -> Column:
+    """Buckets of ``width`` that a window touches."""
+    return _bucket(column(end), width) - _bucket(column(start), width) + 1
 
 
-def bucket_times(df: DataFrame, time: str, widths: list[int]) -> DataFrame:
-    """The rows of ``df`` with the bucket their time falls into, once for each width.
+def width_for(df: DataFrame, start: str, end: str) -> int:
+    """The width of the buckets for the windows of ``df``; one aggregate over them.
 
-    Pass the widths that the windows really use: with a single one no row is repeated.
+    The last one is taken if none gives few enough pieces, which are one or two a window below 89 years.
     """
-    if len(widths) == 1:
-        sized = df.withColumn("bucket_width", F.lit(widths[0]))
-    else:
-        choices = F.array(*[F.lit(width) for width in sorted(widths)])
-        sized = df.withColumn("bucket_width", F.explode(choices))
-    return sized.withColumn(
-        "bucket", _bucket(_day_number(column(time)), F.col("bucket_width"))
-    )
+    told = df.agg(
+        F.count(F.lit(1)).alias("windows"),
+        *[F.sum(steps(start, end, width)).alias(f"steps_{width}") for width in WIDTHS],
+    ).first()
+    most = max(PIECES_EACH * told["windows"], PIECES_AT_LEAST)
+    fits = (width for width in WIDTHS if (told[f"steps_{width}"] or 0) <= most)
+    return next(fits, WIDTHS[-1])
+
+
+def split_windows(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
+    """One row for each bucket that a window touches, in ``bucket``."""
+    touched = F.sequence(_bucket(column(start), width), _bucket(column(end), width))
+    return df.withColumn("bucket", F.explode(touched))
+
+
+def bucket_times(df: DataFrame, time: str, width: int) -> DataFrame:
+    """The rows of ``df`` with the bucket their time falls into."""
+    return df.withColumn("bucket", _bucket(column(time), width))
