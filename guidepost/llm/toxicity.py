@@ -109,9 +109,22 @@ def discount(once: np.ndarray, twice: np.ndarray) -> np.ndarray:
 
 
 def _arrays(rows: DataFrame, kinds: dict[str, type]) -> list[np.ndarray]:
-    """Some columns of a table of bounded size, on the driver."""
-    found = rows.select(*kinds).toArrow()
-    return [found[name].to_numpy().astype(kind, copy=False) for name, kind in kinds.items()]
+    """Some columns of a table of bounded size, on the driver. They come partition by partition and as
+    bytes, so that the driver holds them once."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [batch.column(name).to_numpy().astype(kind) for name, kind in kinds.items()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x.tobytes()], pa.binary()) for x in found], list(kinds)
+            )
+
+    packed = rows.select(*kinds).mapInArrow(pack, ", ".join(f"{name} binary" for name in kinds))
+    parts: dict[str, list[np.ndarray]] = {name: [] for name in kinds}
+    for row in packed.toLocalIterator():
+        for name, kind in kinds.items():
+            parts[name].append(np.frombuffer(row[name], kind))
+    return [np.concatenate([np.empty(0, kind), *parts.pop(name)]) for name, kind in kinds.items()]
 
 
 def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,10 +233,13 @@ def kneser_ney(train: DataFrame, everywhere: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(key), ratio], ["key", "ratio"])
 
     keys, ratios = _arrays(pairs.mapInArrow(weigh, "key long, ratio float"), {"key": np.int64, "ratio": np.float32})
+    table.destroy()
     keys = keys.view(np.uint64)
     order = np.argsort(keys)
+    keys, ratios = keys[order], ratios[order]
+    del order
     sent = {"words": words, "word_ratios": (p1 / p0).astype(np.float32),
-            "pairs": keys[order], "pair_ratios": ratios[order]}
+            "pairs": keys, "pair_ratios": ratios}
     return Model(context.broadcast(sent), unseen=float(rest[1] / rest[0]))
 
 
