@@ -43,6 +43,7 @@ from guidepost.llm.textops import Words, mix64, sums_by_text, words_of
 from guidepost.sources.scratch import snapshot
 
 LABELLED_ROWS = 40_000  # bound of the sample of labelled rows
+SCORED_BYTES = 512 * 1024  # of text that is scored at a time, beside a model of many times that size
 SHARES = 0.1, 0.03, 0.01, 0.003  # of a toxic text's tokens that come from the toxic model
 THRESHOLD = 0.3
 EXPECTED = 0.1  # share of toxic texts before any label is seen, worth ten labels
@@ -137,10 +138,31 @@ def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, keys[at] == wanted
 
 
+def _pair_places(
+    begins: np.ndarray, seconds: np.ndarray, v: np.ndarray, w: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted pair of word numbers is, and whether it is there: those of ``v`` begin at
+    ``begins[v]``, their second words ascend."""
+    low, high = begins[v], begins[v + 1]
+    wide = np.flatnonzero(low < high)
+    while len(wide):
+        middle = (low[wide] + high[wide]) // 2
+        less = seconds[middle] < w[wide]
+        low[wide[less]] = middle[less] + 1
+        high[wide[~less]] = middle[~less]
+        wide = wide[low[wide] < high[wide]]
+    found = low < begins[v + 1]
+    found[found] = seconds[low[found]] == w[found]
+    return low, found
+
+
 @dataclass
 class Model:
     """Likelihood ratios, toxic to ordinary, of the words and pairs of the sample (``ratios``, sent
-    once), and the curve. Other words have the ratio ``unseen``, other pairs that of their word."""
+    once), and the curve. Other words have the ratio ``unseen``, other pairs that of their word.
+
+    Every worker holds the ratios, so a pair takes eight bytes: the number of its second word, among
+    those of its first word, and its ratio."""
 
     ratios: Broadcast
     unseen: float = 1.0
@@ -153,13 +175,22 @@ class Model:
         self, texts: list[bytes | None], shares: Sequence[float]
     ) -> tuple[list[np.ndarray], np.ndarray]:
         """For each share the texts' mean log-likelihood ratios, and their tokens."""
+        parts = [self._evidence(texts[part], shares) for part in slices(texts, SCORED_BYTES)]
+        means = [np.concatenate([np.empty(0), *(own[i] for own, _ in parts)]) for i in range(len(shares))]
+        return means, np.concatenate([np.empty(0, np.int64), *(counts for _, counts in parts)])
+
+    def _evidence(
+        self, texts: list[bytes | None], shares: Sequence[float]
+    ) -> tuple[list[np.ndarray], np.ndarray]:
         sent = self.ratios.value
         words, word, before = _tokenized(texts)
         at, known = _places(sent["words"], word)
         ratio = np.full(len(word), self.unseen)
         ratio[known] = sent["word_ratios"][at[known]]
-        at, known = _places(sent["pairs"], _pair_keys(before, word))
-        ratio[known] = sent["pair_ratios"][at[known]]
+        ahead, both = _places(sent["words"], before)
+        both = np.flatnonzero(both & known)
+        place, seen = _pair_places(sent["begins"], sent["seconds"], ahead[both], at[both])
+        ratio[both[seen]] = sent["pair_ratios"][place[seen]]
         counts = words.counts()
         sums = (sums_by_text(np.log1p(share * (ratio - 1)), words) for share in shares)
         return [x / np.maximum(counts, 1) for x in sums], counts
@@ -183,9 +214,10 @@ def kneser_ney(train: DataFrame, everywhere: DataFrame) -> Model:
     seen = [F.count_if(F.col(f"n{c}") > 0).alias(f"n{c}") for c in (0, 1)]
     total = pairs.agg(*few, *seen).first()
     every = np.array([total["n0"], total["n1"]], float)
-    none = np.empty(0, np.uint64)
     if not every.all():  # a class without rows
-        empty = {"words": none, "word_ratios": none, "pairs": none, "pair_ratios": none}
+        none = np.empty(0, np.uint64)
+        empty = {"words": none, "word_ratios": none, "begins": np.zeros(1, np.int64),
+                 "seconds": none, "pair_ratios": none}
         return Model(context.broadcast(empty))
 
     # How often a word goes before another one in a text of each class, and its forerunners.
@@ -228,18 +260,20 @@ def kneser_ney(train: DataFrame, everywhere: DataFrame) -> Model:
             for own, t, tilt, d in zip(n, totals, (tilt0, tilt1), own_discount):
                 back = d * -np.expm1(-t * share * tilt[at])
                 found.append(((np.maximum(own - d, 0) + back) / np.maximum(t, 1))[both])
-            key = _pair_keys(v, w)[both].view(np.int64)
+            numbers = (pa.array(x[both].astype(np.int32)) for x in (before, at))
             ratio = pa.array((found[1] / found[0]).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([pa.array(key), ratio], ["key", "ratio"])
+            yield pa.RecordBatch.from_arrays([*numbers, ratio], ["v", "w", "ratio"])
 
-    keys, ratios = _arrays(pairs.mapInArrow(weigh, "key long, ratio float"), {"key": np.int64, "ratio": np.float32})
+    kinds = {"v": np.int32, "w": np.int32, "ratio": np.float32}
+    v, w, ratios = _arrays(pairs.mapInArrow(weigh, "v int, w int, ratio float"), kinds)
     table.destroy()
-    keys = keys.view(np.uint64)
-    order = np.argsort(keys)
-    keys, ratios = keys[order], ratios[order]
+    order = np.lexsort((w, v))
+    begins = np.concatenate([[0], np.cumsum(np.bincount(v, minlength=len(words)))])
+    del v
+    w, ratios = w[order], ratios[order]
     del order
     sent = {"words": words, "word_ratios": (p1 / p0).astype(np.float32),
-            "pairs": keys, "pair_ratios": ratios}
+            "begins": begins, "seconds": w, "pair_ratios": ratios}
     return Model(context.broadcast(sent), unseen=float(rest[1] / rest[0]))
 
 
@@ -340,12 +374,12 @@ def toxicity(
 
 
 def _scorer(model: Model) -> Callable[[Column], Column]:
-    def score(texts: pd.Series) -> pd.Series:
-        raw = [None if t is None else t.encode("utf-8", "replace") for t in texts]
-        parts = [model.scores(raw[part]) for part in slices(raw)]
-        return pd.Series(np.concatenate([np.empty(0), *parts]))
+    def score(texts: pa.Array) -> pa.Array:
+        rows = pa.RecordBatch.from_arrays([pa.nulls(len(texts)), texts], ["id", "text"])
+        parts = [model.scores(own) for _, own in blocks([rows])]
+        return pa.array(np.concatenate([np.empty(0), *parts]))
 
-    return F.pandas_udf(score, T.DoubleType())
+    return F.arrow_udf(score, T.DoubleType())
 
 
 def drop_toxic(
@@ -360,6 +394,6 @@ def drop_toxic(
     score = _scorer(model)
     name = fresh(docs, "score")
     says_nothing = word_count(column(text)) == 0
-    scored = docs.withColumn(name, score(column(text)))
+    scored = docs.withColumn(name, score(column(text).cast("binary")))
     scored = scored.where((F.col(name) < THRESHOLD) | says_nothing)
     return scored.select(*[column(c) for c in docs.columns])
